@@ -103,12 +103,11 @@ def latest_attribute(
 
 
 def no_demand(forecast: str | Column, indicator: str | Column) -> Column:
-    """Forecast that is missing or not positive, without an initiative."""
-    quantity = (F.col(forecast) if isinstance(forecast, str) else forecast).try_cast("float")
-    missing = (F.col(forecast) if isinstance(forecast, str) else forecast).isNull()
+    """Forecast that is missing, not a number or not positive, without an initiative."""
+    column = F.col(forecast) if isinstance(forecast, str) else forecast
     named = F.col(indicator) if isinstance(indicator, str) else indicator
-    idle = named.isNull() | (named == "")
-    return F.coalesce((quantity <= 0) | missing, F.lit(False)) & idle
+    wanted = F.coalesce(column.try_cast("float") > 0, F.lit(False))
+    return ~wanted & (named.isNull() | (named == ""))
 
 
 def supplier_template(
@@ -416,8 +415,7 @@ def _year_ahead(cons: DataFrame, as_of: dt.date) -> DataFrame:
     return (
         cons.filter((F.col("requirement_date_for_the_component") >= first) & (month <= last))
         .groupBy("material_id", "plant_code")
-        .agg(F.sum("sum_total_requirement_qty").alias("_required"),
-             F.count(F.lit(1)).alias("_required_rows"))
+        .agg(F.sum("sum_total_requirement_qty").alias("_required"))
     )
 
 
