@@ -2,6 +2,7 @@
 
 from catalog import (  # noqa: F401
     conform_queries,
+    mpq_queries,
     planning_queries,
 )
 from catalog.registry import ORACLES, QUERIES

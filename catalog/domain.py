@@ -31,7 +31,7 @@ def _day(column: str) -> str:
 
 VENDOR, PLANT = _id("l_suppkey", 10), _id("l_linenumber", 4)
 MATERIAL, TICKET = _id("l_partkey", 18), _id("l_orderkey", 7)
-TYPE = "CASE l_returnflag WHEN 'A' THEN 'ROH' WHEN 'R' THEN 'HALB' ELSE 'FERT' END"
+TYPE = "CASE l_partkey % 3 WHEN 0 THEN 'ROH' WHEN 1 THEN 'HALB' ELSE 'FERT' END"
 SYSTEM = "CASE l_returnflag WHEN 'A' THEN 'ABC100' WHEN 'N' THEN 'DEF200' ELSE 'GHI300' END"
 CURRENCY = "CASE l_linestatus WHEN 'F' THEN 'USD' ELSE 'EUR' END"
 FACTOR = "CASE WHEN l_tax < 0.03 THEN 1 WHEN l_tax < 0.06 THEN 100 ELSE 1000 END"
@@ -46,7 +46,9 @@ def _scenarios(text: bool = True) -> str:
     )
 
 
-NATURAL = "CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)"
+NATURAL = " || '-' || ".join(
+    f"CAST({c} AS STRING)" for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+)
 
 DOMAIN = {
     "consumption": f"""

@@ -1,6 +1,5 @@
 from lotcraft.functions.columns import (
     blank_to_null,
-    capped_text,
     equals_ignoring_case,
     fiscal_year,
     id_number,
@@ -8,6 +7,7 @@ from lotcraft.functions.columns import (
     left_padded,
     pad_left_keep_left,
     region_code,
+    settled_round,
     strip_leading_zeros,
 )
 from lotcraft.functions.grouping import (
@@ -24,7 +24,6 @@ __all__ = [
     "attach_group_values",
     "attach_lookup",
     "blank_to_null",
-    "capped_text",
     "equals_ignoring_case",
     "fiscal_year",
     "group_values",
@@ -36,6 +35,7 @@ __all__ = [
     "pad_left_keep_left",
     "region_code",
     "running_share",
+    "settled_round",
     "strip_leading_zeros",
     "unique_rows_only",
 ]

@@ -64,9 +64,9 @@ def strip_leading_zeros(value: str | Column) -> Column:
     return F.regexp_replace(_col(value), "^0+", "")
 
 
-def capped_text(value: str | Column, places: int = 0) -> Column:
-    """Number as plain text with a fixed count of decimals."""
-    return F.round(_col(value), places).cast("string")
+def settled_round(value: str | Column, places: int) -> Column:
+    """Half-up rounding after the noise of double arithmetic is cut off at ten decimals."""
+    return F.round(_col(value).try_cast("decimal(38,10)"), places).cast("double")
 
 
 def fiscal_year(date: str | Column, shift_months: int = 6) -> Column:

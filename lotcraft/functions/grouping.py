@@ -1,11 +1,13 @@
 """Group values without gathering a group in one task.
 
-A window over a raw key brings every row of that key to one task, which fails
-once a key holds a large share of the table. The helpers here aggregate first
-(partial sums leave each task, not rows) and bring the group's values back to its
-rows. The most frequent keys, at most `HOT_KEYS` of them, travel by broadcast, so
-their rows are never shuffled; all other keys use an ordinary join. A key outside
-the `HOT_KEYS` most frequent holds less than 1/HOT_KEYS of the rows.
+A window over a raw key brings every row of that key to one task, which fails once a key
+holds a large share of the table. The helpers here aggregate first, so that partial sums
+leave each task and not rows, and join the group's values back to its rows.
+
+The join compares keys null-safely. Its keys are then expressions, so both sides get an
+exchange of their own, also the aggregated one, and adaptive execution is free to choose:
+it broadcasts the values when their measured size is small, and otherwise splits the
+partitions of a hot key over many tasks.
 """
 
 from __future__ import annotations
@@ -17,50 +19,24 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-GROUP_ROWS = "_group_rows"
-
-
-def _same_keys(keys: Sequence[str], prefix: str) -> Column:
-    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
-
 
 def group_values(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
-    """One row per key: the aggregates and the number of rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS), *values)
+    """One row per key with the aggregates."""
+    return df.groupBy(*keys).agg(*values)
 
 
-def attach_lookup(
-    df: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    hot_keys: int = HOT_KEYS,
-) -> DataFrame:
-    """Inner join to `lookup`, which has one row per key and its row count in `df`.
-
-    Null keys match each other. `lookup` comes from `group_values` over `df`.
-    """
+def attach_lookup(df: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join to `lookup`, which has one row per key; null keys match each other."""
     prefix = "_lookup_"
-    names = [c for c in lookup.columns if c not in keys and c != GROUP_ROWS]
-    side = lookup.select(
-        *[F.col(k).alias(f"{prefix}{k}") for k in keys], GROUP_ROWS, *names
-    )
-    # The keys break ties in the row count, so that each use sees the same hot set.
-    order = [F.desc(GROUP_ROWS), *[F.asc(f"{prefix}{k}") for k in keys]]
-    hot = side.orderBy(*order).limit(hot_keys)
+    names = [c for c in lookup.columns if c not in keys]
+    side = lookup.select(*[F.col(k).alias(f"{prefix}{k}") for k in keys], *names)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+    return df.join(side, same).select(*df.columns, *names)
 
-    marked = df.join(F.broadcast(hot), _same_keys(keys, prefix), "left")
-    out = [*df.columns, *names]
-    in_hot = marked.filter(F.col(GROUP_ROWS).isNotNull()).select(*out)
-    others = marked.filter(F.col(GROUP_ROWS).isNull()).select(*df.columns)
-    return in_hot.unionByName(others.join(side, _same_keys(keys, prefix)).select(*out))
 
-
-def attach_group_values(
-    df: DataFrame, keys: Sequence[str], *values: Column, hot_keys: int = HOT_KEYS
-) -> DataFrame:
+def attach_group_values(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
     """Every row with the aggregates of its group."""
-    return attach_lookup(df, group_values(df, keys, *values), keys, hot_keys)
+    return attach_lookup(df, group_values(df, keys, *values), keys)
 
 
 def latest_in_group(
@@ -95,8 +71,8 @@ def unique_rows_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     single = (
         df.filter(complete)
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(GROUP_ROWS), F.min(packed).alias("_row"))
-        .filter(F.col(GROUP_ROWS) == 1)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(packed).alias("_row"))
+        .filter(F.col("_rows") == 1)
         .select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
     return single.unionByName(df.filter(~complete))

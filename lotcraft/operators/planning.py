@@ -15,6 +15,7 @@ from lotcraft.functions import (
     equals_ignoring_case,
     latest_in_group,
     pad_left_keep_left,
+    settled_round,
     strip_leading_zeros,
 )
 from lotcraft.functions.columns import (
@@ -116,7 +117,7 @@ def cover_days(quantity: str | Column, per_day: str | Column, places: int = 2) -
     """Days of forward cover: quantity over daily consumption, null when there is none."""
     quantity = F.col(quantity) if isinstance(quantity, str) else quantity
     per_day = F.col(per_day) if isinstance(per_day, str) else per_day
-    return F.round(F.try_divide(quantity.cast("double"), per_day.cast("double")), places)
+    return settled_round(F.try_divide(quantity.cast("double"), per_day.cast("double")), places)
 
 
 def days_forward_cover(
@@ -400,23 +401,20 @@ def harmonise_price_lines(
     currency of the key. With `rescale`, prices are divided by the factor they lose.
     """
     keys = list(keys)
-    combos = df.groupBy(*keys, factor, currency).agg(F.count(F.lit(1)).alias("_rows"))
-    per_currency = combos.groupBy(*keys, currency).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_rows").alias("_rows")
-    )
+    combos = df.select(*keys, factor, currency).distinct()
+    per_currency = combos.groupBy(*keys, currency).agg(F.count(F.lit(1)).alias("_n"))
     per_factor = combos.groupBy(*keys, factor).agg(F.count(F.lit(1)).alias("_n"))
     none = F.lit(0).cast("long")
     cases = (
         per_currency.select(*keys, (F.col("_n") == 1).cast("long").alias("_single"),
-                            (F.col("_n") > 1).cast("long").alias("_several"), none.alias("_mixed"),
-                            "_rows")
+                            (F.col("_n") > 1).cast("long").alias("_several"), none.alias("_mixed"))
         .unionByName(
             per_factor.select(*keys, none.alias("_single"), none.alias("_several"),
-                              (F.col("_n") > 1).cast("long").alias("_mixed"), none.alias("_rows"))
+                              (F.col("_n") > 1).cast("long").alias("_mixed"))
         )
         .groupBy(*keys)
         .agg(F.sum("_single").alias("_single"), F.sum("_several").alias("_several"),
-             F.max("_mixed").alias("_mixed"), F.sum("_rows").alias("_group_rows"))
+             F.max("_mixed").alias("_mixed"))
     )
     present = reduce(and_, [F.col(k).isNotNull() for k in keys])
     lines = attach_lookup(df, cases, keys).filter(present & (F.col("_mixed") == 0))
