@@ -4,6 +4,8 @@ from catalog import (  # noqa: F401
     conform_queries,
     mpq_queries,
     planning_queries,
+    quality_queries,
+    template_queries,
 )
 from catalog.registry import ORACLES, QUERIES
 
