@@ -3,6 +3,7 @@
 from catalog import (  # noqa: F401
     conform_queries,
     mpq_queries,
+    plan_queries,
     planning_queries,
     quality_queries,
     template_queries,

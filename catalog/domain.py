@@ -406,7 +406,7 @@ def _names(sql: str) -> list[str]:
 
 
 class Frames:
-    """Frames of one scale folder, by name."""
+    """Frames of one scale folder, by name. A frame is planned once and reused."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
@@ -414,9 +414,23 @@ class Frames:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return table(self.spark, self.sf_dir, name)
-        sql = DOMAIN[name]
-        return self.spark.sql(sql, **{n: getattr(self, n) for n in _names(sql)})
+            frame = table(self.spark, self.sf_dir, name)
+        else:
+            sql = DOMAIN[name]
+            frame = self.spark.sql(sql, **{n: getattr(self, n) for n in _names(sql)})
+        setattr(self, name, frame)
+        return frame
+
+
+_frames: dict[tuple[str, str], Frames] = {}
+
+
+def frames(spark: SparkSession, sf_dir: str) -> Frames:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _frames:
+        _frames[key] = Frames(spark, sf_dir)
+    configure(spark)
+    return _frames[key]
 
 
 def _needed(sql: str, found: list[str]) -> list[str]:

@@ -12,6 +12,7 @@ from lotcraft.functions import fiscal_year
 from lotcraft.operators import incremental as N
 from lotcraft.operators import inventory as V
 from lotcraft.operators import quality as Q
+from lotcraft.plans import alerts as A
 from lotcraft.sources import write_snapshot
 from lotcraft.sources.staging import new_folder
 
@@ -310,3 +311,56 @@ def _(f):
 def _(f):
     day = Q.is_business_day(F.col("o_orderdate").cast("date"))
     return f.orders.groupBy(day.alias("business_day")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("missing_quotation_digest", f"""
+    WITH published AS (
+        SELECT * FROM {{quotation_summary}} WHERE ticket_status = 'Published in SBM'
+           AND date_diff('day', CAST(modified_date AS DATE), DATE '1998-01-01') < 7),
+    missing AS (
+        SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code, s.ticket_custom_id
+        FROM {{input}} i JOIN published s ON i.ticket_id = s.supplier_input_ticket_id
+        ANTI JOIN (SELECT * FROM {{scale_fact}} WHERE mpq_scale_qty > 25) q
+          ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
+          AND q.material_id = i.material_id AND q.plant_code = i.plant_code),
+    tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {{ticket}}
+                WHERE ticket_status = 'Published in SBM'),
+    planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
+                       vendor_name FROM {{plan}}),
+    routed AS (
+        SELECT coalesce(t.ticket_owner, p.ticket_owner) AS ticket_owner
+        FROM missing m JOIN tickets t ON t.ticket_id = m.ticket_id
+        LEFT JOIN planned p ON p.purchase_vendor_id = m.vendor_id
+          AND p.material_id = m.material_id)
+    SELECT CASE WHEN regexp_full_match(ticket_owner, '.+@example[.]com') THEN ticket_owner
+                ELSE '{FALLBACK}' END AS recipient, ticket_owner, count(*) AS rows_total,
+           CAST(least(count(*), 100) AS INT) AS shown
+    FROM routed GROUP BY recipient, ticket_owner""")
+def _(f):
+    digest = A.missing_quotation_digest(
+        f.input, f.quotation_summary, f.scale_fact.filter("mpq_scale_qty > 25"), f.ticket, f.plan,
+        AS_OF, A.Routing(ADDRESS, FALLBACK))
+    return digest.select("recipient", "ticket_owner", "rows_total",
+                         F.size("rows_shown").alias("shown"))
+
+
+@query("duplicate_agreement_digest", f"""
+    WITH repeated AS (
+        SELECT 'V' || CAST(l_suppkey % 10 AS STRING) AS vendor_id,
+               CAST(l_partkey AS STRING) AS material_id,
+               'user' || CAST(l_linenumber AS STRING) || '@example.com' AS ticket_owner,
+               l_returnflag AS ticket_custom_id, count(*) AS n FROM lineitem
+        GROUP BY ALL HAVING count(*) > 1)
+    SELECT ticket_owner AS recipient, ticket_owner, count(*) AS rows_total,
+           CAST(least(count(*), 100) AS INT) AS shown
+    FROM repeated WHERE ticket_owner <> 'user3@example.com' GROUP BY ticket_owner""")
+def _(f):
+    agreements = f.lineitem.select(
+        F.concat(F.lit("V"), F.col("l_suppkey") % 10).alias("vendor_id"),
+        F.col("l_partkey").cast("string").alias("material_id"),
+        F.concat(F.lit("user"), "l_linenumber", F.lit("@example.com")).alias("ticket_owner"),
+        F.col("l_returnflag").alias("ticket_custom_id"))
+    digest = A.duplicate_agreement_digest(
+        agreements, A.Routing(ADDRESS, FALLBACK, "user3@example.com"))
+    return digest.select("recipient", "ticket_owner", "rows_total",
+                         F.size("rows_shown").alias("shown"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.domain import Frames, with_frames
+from catalog.domain import Frames, frames, with_frames
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,7 @@ def query(name: str, sql: str | None = None):
     def register(function: Callable[[Frames], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: function(Frames(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: function(frames(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = with_frames(sql)
         return function
