@@ -24,6 +24,9 @@ REGION_LADDER = (
 )
 REGION_DEFAULT = "missing"
 
+DIGITS = r"^\s*[+-]?[0-9]+\s*$"
+NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
 
 def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -39,9 +42,19 @@ def pad_left_keep_left(value: str | Column, width: int) -> Column:
     return F.lpad(_col(value).cast("string"), width, "0")
 
 
+def parsed_number(value: str | Column, sql_type: str) -> Column:
+    """Text as a number, null when it is none.
+
+    The pattern comes first because a failing cast costs an exception per row.
+    """
+    column = _col(value)
+    return F.when(column.cast("string").rlike(NUMBER), column.try_cast(sql_type))
+
+
 def id_number(value: str | Column) -> Column:
     """Identifier as a number, so that padding does not matter; null when not numeric."""
-    return _col(value).try_cast("bigint")
+    column = _col(value)
+    return F.when(column.cast("string").rlike(DIGITS), column.try_cast("bigint"))
 
 
 def is_blank(value: str | Column) -> Column:

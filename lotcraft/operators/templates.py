@@ -13,6 +13,7 @@ from lotcraft.functions import (
     id_number,
     is_blank,
     one_row_per_group,
+    parsed_number,
     region_code,
     unique_rows_only,
 )
@@ -35,7 +36,7 @@ def shelf_life(
     shortest = F.min(value)
     return df.groupBy(*keys).agg(shortest.alias("_least")).select(
         *keys,
-        F.when(is_blank("_least") | (F.col("_least").try_cast("double") == 0), F.lit(""))
+        F.when(is_blank("_least") | (parsed_number("_least", "double") == 0), F.lit(""))
         .otherwise(F.col("_least").cast("string"))
         .alias(out),
     )
@@ -106,7 +107,7 @@ def no_demand(forecast: str | Column, indicator: str | Column) -> Column:
     """Forecast that is missing, not a number or not positive, without an initiative."""
     column = F.col(forecast) if isinstance(forecast, str) else forecast
     named = F.col(indicator) if isinstance(indicator, str) else indicator
-    wanted = F.coalesce(column.try_cast("float") > 0, F.lit(False))
+    wanted = F.coalesce(parsed_number(column, "float") > 0, F.lit(False))
     return ~wanted & (named.isNull() | (named == ""))
 
 
@@ -151,7 +152,7 @@ def supplier_template(
     stacking = latest_attribute(
         supplier_input.select(
             "material_id", "plant_code", F.col("vendor_id").alias("purchase_vendor_id"),
-            "ticket_id", F.col("pallet_stacking_factor").try_cast("int").alias("_stack"),
+            "ticket_id", parsed_number("pallet_stacking_factor", "int").alias("_stack"),
         ),
         ["material_id", "plant_code", "purchase_vendor_id"], "ticket_id", "_stack",
         "pallet_stacking_factor",
@@ -206,8 +207,8 @@ def supplier_template(
         "pipo_indicator",
         "material_phase_out_phase_in",
         F.col("iopt_initiative_name").alias("initiative_name"),
-        F.col("prod_rounding_value").try_cast("int").alias("prod_rounding_value"),
-        F.round(F.col("setup_cost_usd").try_cast("double"), 2).alias("setup_cost_usd"),
+        parsed_number("prod_rounding_value", "int").alias("prod_rounding_value"),
+        F.round(parsed_number("setup_cost_usd", "double"), 2).alias("setup_cost_usd"),
         "pallet_stacking_factor",
         F.coalesce("_frequency", default_frequency).alias("vendor_plant_change_freq"),
         "purchase_doc_type_desc",

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Sets of a few texts per group: keep hashing well beyond the default of 128 groups.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
