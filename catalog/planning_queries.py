@@ -289,6 +289,13 @@ def _(f):
     return P.phase_in_out(_base(f), P.initiatives_per_pair(f.initiative), side="pi")
 
 
+@query("phase_out_only", _phase_sql(
+    _OUT, ", ".join(f"o.{c} AS {c}" for c in _DETAILS)
+    + ", CASE WHEN o.plant_code IS NOT NULL THEN 'PO' END AS pipo_indicator"))
+def _(f):
+    return P.phase_in_out(_base(f), P.initiatives_per_pair(f.initiative), side="po")
+
+
 @query("collapse_lines", """
     SELECT purchase_vendor_id, plant_code,
            string_agg(DISTINCT business_unit, ', ' ORDER BY business_unit) AS business_unit,

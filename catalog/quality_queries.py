@@ -226,6 +226,28 @@ def _(f):
                            status=None, trigger_columns=["ticket_custom_id"])
 
 
+@query("resolve_owner_of_prices", """
+    WITH missing AS (
+        SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code, s.ticket_owner AS own,
+               s.ticket_custom_id
+        FROM {input} i JOIN {scale_summary} s ON i.ticket_id = s.supplier_input_ticket_id
+        ANTI JOIN (SELECT * FROM {scale_fact} WHERE mpq_scale_qty > 25) q
+          ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
+          AND q.material_id = i.material_id AND q.plant_code = i.plant_code),
+    tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {ticket}
+                WHERE ticket_status = 'Published in SBM'),
+    planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
+                       vendor_name FROM {plan})
+    SELECT m.material_id, m.plant_code, m.vendor_id, p.vendor_name, m.ticket_id,
+           coalesce(own, p.ticket_owner) AS ticket_owner, m.ticket_custom_id
+    FROM missing m JOIN tickets t ON t.ticket_id = m.ticket_id
+    LEFT JOIN planned p ON p.purchase_vendor_id = m.vendor_id AND p.material_id = m.material_id""")
+def _(f):
+    missing = Q.missing_price(f.input, f.scale_summary, f.scale_fact.filter("mpq_scale_qty > 25"))
+    return Q.resolve_owner(missing, f.ticket, f.plan,
+                           own_owner="ticket_owner_from_price_scale_summary")
+
+
 ROUTED = f"""
     {OWNED},
     routed AS (

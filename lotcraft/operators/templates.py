@@ -369,14 +369,12 @@ def drop_ambiguous(
 
 
 def agreement_template(
-    ppf: DataFrame, vendor: DataFrame, plant: DataFrame, material: DataFrame, agr: DataFrame
+    ppf: DataFrame, vendor: DataFrame, material: DataFrame, agr: DataFrame
 ) -> DataFrame:
     """Vendor, material and plant combinations with their units and regions, and tickets.
 
-    `vendor` lists display ids. Plants add no column, so they are not joined: their codes
-    are unique.
+    `vendor` lists the display ids that may appear.
     """
-    del plant
     known = vendor.select(F.col("display_vendor_id").cast("bigint").alias("_vendor")).distinct()
     materials = material.select(
         id_number("material_number").alias("_material"), "base_unit_of_measure"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lotcraft.operators.conform import cast_columns, sanitize_columns
@@ -32,22 +35,29 @@ def read_pipe_csv(
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def _extract_names(spark: SparkSession, directory: str) -> list[str]:
+    """Names of the CSV files or folders in a directory; only the listing is read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(directory)
+    )
+    folder = re.escape(directory.rstrip("/").split("/")[-1])
+    inside = F.regexp_extract("path", f"/{folder}/([^/]+)", 1)
+    return sorted(r["name"] for r in files.select(inside.alias("name")).distinct().collect())
+
+
 def load_csv_dir(
     spark: SparkSession,
     directory: str,
     types: dict[str, dict[str, str]] | None = None,
 ) -> dict[str, DataFrame]:
     """One table per CSV file of a directory, with clean names and chosen column types."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(directory)
-    filesystem = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     tables = {}
-    for status in filesystem.listStatus(folder):
-        name = status.getPath().getName()
-        if not name.endswith(".csv"):
-            continue
-        table = name[: -len(".csv")].replace(".", "_")
-        df = sanitize_columns(read_pipe_csv(spark, status.getPath().toString()))
+    for name in _extract_names(spark, directory):
+        table = name.removesuffix(".csv").replace(".", "_")
+        df = sanitize_columns(read_pipe_csv(spark, f"{directory.rstrip('/')}/{name}"))
         tables[table] = cast_columns(df, (types or {}).get(table, {}))
     return tables
 

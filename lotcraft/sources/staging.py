@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without the setting gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    named = context.getConf().get(_SETTING, None)
+    named = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING, None)
     if named:
         return named.rstrip("/")
     if not context.master.startswith("local"):

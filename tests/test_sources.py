@@ -73,12 +73,19 @@ def test_shared_folder_is_only_made_up_locally(spark):
             return default
 
     class Session:
-        sparkContext = Context()
+        sparkContext = conf = Context()
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
     assert shared_folder(spark) == shared_folder(spark)
 
+    class Named(Context):
+        def get(self, name, default):
+            return {"spark.checkpoint.dir": "/shared/folder/"}[name]
+
+    Session.sparkContext = Session.conf = Named()
+    assert shared_folder(Session()) == "/shared/folder"
+
 
 def test_cut_lineage_reads_written_files(spark):
     df = cut_lineage(spark.range(5).selectExpr("id", "id * 2 AS twice"))
