@@ -23,6 +23,10 @@ from lotcraft.operators.planning import PLANNED_TYPES, joined_set
 PACKAGING_FREQUENCY = 180
 OTHER_FREQUENCY = 365
 PALLET_TYPES = ("Pallet", "pallet")
+AGREED_COLUMNS = [
+    "material_desc", "base_uom", "business_unit", "doc_curr_code", "price_unit_factor",
+    "net_price_rate", "spend_pool_low_name", "business_unit_lkp_code",
+]
 TEMPLATE_KEYS = ["vendor_id", "material_id", "plant_code"]
 
 
@@ -91,6 +95,14 @@ def active_agreements(
     )
 
 
+def agreements_once(agr: DataFrame) -> DataFrame:
+    """Source-list agreements, those that differ in no template column once."""
+    listed = agr.filter(F.col("source_list_flag") == "Y")
+    return listed.select(
+        "purchase_vendor_id", "material_id", "plant_code", *AGREED_COLUMNS
+    ).distinct()
+
+
 def latest_attribute(
     df: DataFrame, keys: Sequence[str], order: str, value: str, out: str | None = None
 ) -> DataFrame:
@@ -229,14 +241,13 @@ def forecast_template(
 ) -> DataFrame:
     """Forecast template: the horizons of each key with plant, agreement and initiative.
 
-    `agreements` has been filtered, to source-list or still valid ones; equal rows count once.
+    `agreements` comes from `agreements_once` or `active_agreements`; a key is repeated for
+    every agreement row it matches.
     """
     agreed = agreements.select(
         "plant_code", id_number("material_id").alias("_material"),
-        id_number("purchase_vendor_id").alias("_vendor"), "material_desc", "base_uom",
-        "business_unit", "doc_curr_code", "price_unit_factor", "net_price_rate",
-        "spend_pool_low_name", "business_unit_lkp_code",
-    ).distinct()
+        id_number("purchase_vendor_id").alias("_vendor"), *AGREED_COLUMNS,
+    )
     planned = fact.select(
         "purchase_vendor_id", "plant_code", "material_id", "pipo_indicator",
         "material_phase_out_phase_in", "iopt_initiative_name",
