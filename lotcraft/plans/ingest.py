@@ -19,7 +19,8 @@ YEAR_DAYS = 365
 class TestRows:
     """What marks a test ticket: owners, vendor patterns and a family pattern."""
 
-    __test__ = False
+    __test__ = False  # not a test class, whatever its name
+
     owners: Sequence[str] = ()
     vendors: Sequence[str] = ()
     family: str = C.TEST_FAMILY
@@ -29,7 +30,7 @@ class TestRows:
 class Extracts:
     """Names of the extract tables; each is a CSV file or folder of the same name."""
 
-    __test__ = False
+    # Names of the extract files.
     names: Mapping[str, str] = field(default_factory=lambda: {
         "trigger": "abc_trigger_summary_dim",
         "inprocess": "abc_supplier_input_inprocess_dim",
