@@ -328,9 +328,11 @@ def _(f):
 
 
 @query("load_csv_dir", """
-    SELECT 'conversations' AS table_name, count(*) AS n_rows, sum(length(text)) AS text_chars,
-           sum(turn) AS numbers FROM conversations
-    UNION ALL SELECT 'documents', count(*), sum(length(text)), sum(n_chars) FROM documents""")
+    SELECT 'conversations' AS table_name, count(*) AS n_rows, 
+           CAST(sum(length(text)) AS BIGINT) AS text_chars, CAST(sum(turn) AS BIGINT) AS numbers
+    FROM conversations
+    UNION ALL SELECT 'documents', count(*), CAST(sum(length(text)) AS BIGINT),
+           CAST(sum(n_chars) AS BIGINT) FROM documents""")
 def _(f):
     path = new_folder(f.spark, "extracts")
     _write_pipe_csv(f.documents.select("text", F.col("n_chars").alias("number")),

@@ -72,7 +72,7 @@ def _(f):
 
 
 @query("explode_scenarios", """
-    SELECT s_suppkey, iteration FROM supplier, range(1, 51) AS steps(iteration)""")
+    SELECT s_suppkey, CAST(iteration AS INT) AS iteration FROM supplier, range(1, 51) AS steps(iteration)""")
 def _(f):
     return M.explode_scenarios(f.supplier.select("s_suppkey"))
 
@@ -154,7 +154,8 @@ def _rows(f):
 
 @query("scenario_costs", f"""
     WITH {COSTS}
-    SELECT ticket_id, iteration, abc_segment, count(*) AS n_rows, {R('sum(mpq)', 2)} AS mpq,
+    SELECT ticket_id, CAST(iteration AS INT) AS iteration, abc_segment, count(*) AS n_rows,
+           {R('sum(mpq)', 2)} AS mpq,
            {R('sum(allocated)', 2)} AS allocated, {R('sum(cover)', 2)} AS cover,
            {R('sum(order_quantity)', 2)} AS order_quantity, {R('sum(risk)', 2)} AS risk,
            {R('sum(scrap)', 2)} AS scrap, {R('sum(capital)', 2)} AS capital
@@ -195,7 +196,7 @@ DECIDED = f"""
 @query("family_cost_minimum", f"""
     WITH {DECIDED}
     SELECT ticket_id, abc_mat_fam_new_msm, {R('least', 2)} AS least, count(*) AS n_rows,
-           sum(CASE WHEN decisive <= least + 0.00001 THEN 1 ELSE 0 END) AS n_lowest,
+           CAST(sum(CASE WHEN decisive <= least + 0.00001 THEN 1 ELSE 0 END) AS BIGINT) AS n_lowest,
            {R('sum(decisive)', 1)} AS decisive
     FROM lowest GROUP BY ticket_id, abc_mat_fam_new_msm, least""")
 def _(f):

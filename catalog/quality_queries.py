@@ -294,8 +294,8 @@ HISTORY = """LEFT JOIN {history} h ON h.vendor_id = s.vendor_id AND h.ticket_id
 
 @query("overdue_reminders", f"""
     SELECT s.vendor_id, v.vendor_name, s.supplier_email, s.supplier_deadline_date,
-           date_diff('day', CAST(s.supplier_deadline_date AS DATE), DATE '1998-01-01')
-               AS days_overdue,
+           CAST(date_diff('day', CAST(s.supplier_deadline_date AS DATE), DATE '1998-01-01')
+                AS INT) AS days_overdue,
            s.ticket_status, s.ticket_id, s.ticket_title, s.ticket_owner,
            coalesce(last_reminder, 0) AS last_reminder,
            s.ticket_owner || ';' || s.supplier_email || ';' || s.buyer_email AS sent_emails
