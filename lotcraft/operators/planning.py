@@ -316,16 +316,19 @@ def initiatives_per_pair(
     po: str = "iopt_initiative_po_material_id",
     pi: str = "iopt_initiative_pi_material_id",
     name: str = "iopt_initiative_name",
+    distinct: bool = False,
 ) -> DataFrame:
     """Cleaned initiative names per phase-out/phase-in pair and plant, in name order.
 
-    Equal names are counted before the shuffle and repeated in the joined text.
+    Equal names are counted before the shuffle and repeated in the joined text; `distinct`
+    names each once, which keeps the text short whatever the copies.
     """
     cleaned = F.regexp_replace(F.lower(name), "[^a-zA-Z0-9]", " ")
     counted = (
         initiatives.withColumn(name, cleaned)
         .groupBy(po, "plant_code", pi, name)
-        .agg(F.count(F.lit(1)).cast("int").alias("_times"))
+        .agg(F.lit(1).alias("_times") if distinct
+             else F.count(F.lit(1)).cast("int").alias("_times"))
     )
     pairs = F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct(name, "_times"))))
     repeated = F.flatten(F.transform(pairs, lambda p: F.array_repeat(p[name], p["_times"])))

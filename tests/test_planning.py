@@ -61,6 +61,8 @@ def test_initiatives_are_cleaned_sorted_and_repeated(frame):
     out = P.initiatives_per_pair(df)
     assert values(out, "iopt_initiative_name", "material_phase_out_phase_in") == [
         ("", "12"), ("a b, zed 1, zed 1", "12 - 34")]
+    once = P.initiatives_per_pair(df, distinct=True)
+    assert values(once, "iopt_initiative_name") == [("",), ("a b, zed 1",)]
 
 
 @pytest.mark.parametrize("side, expected", [
