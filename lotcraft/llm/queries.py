@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotcraft.llm import curriculum, quality_lines, simhash_tiles
+import public_tokenizers
+
+from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +19,10 @@ def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.clean_lines(_table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_tiles.near_groups(_table(spark, sf_dir, "documents"))
 
@@ -25,8 +31,16 @@ def op5_curriculum_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(_table(spark, sf_dir, "documents"))
+
+
+def op7_centroid_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_langid.learn_and_identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_lines, op4_simhash_tiles, op5_curriculum_mixture)
+    f.__name__: f for f in (op1_quality_lines, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid)
 }
 ORACLES: dict[str, str] = {
     "op5_curriculum_mixture": curriculum.MIXTURE_SQL.format(documents="documents"),
