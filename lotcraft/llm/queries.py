@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, string_tiling, token_files
+from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, string_tiling, surrogates, token_files
+
+
+# A deployment passes its own secret.
+SURROGATE_KEY = "test tables"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +47,12 @@ def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace_entities(_table(spark, sf_dir, "documents"), key=SURROGATE_KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_lines, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid, op8_string_tiling)
+    f.__name__: f for f in (op1_quality_lines, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid, op8_string_tiling, op9_surrogates)
 }
 ORACLES: dict[str, str] = {
     "op5_curriculum_mixture": curriculum.MIXTURE_SQL.format(documents="documents"),
