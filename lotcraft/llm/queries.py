@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, string_tiling, surrogates, token_files
+from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, string_tiling, surrogates, token_files, warc_derive
 
 
 # A deployment passes its own secret.
@@ -51,8 +51,12 @@ def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace_entities(_table(spark, sf_dir, "documents"), key=SURROGATE_KEY)
 
 
+def op10_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derive.build(_table(spark, sf_dir, "pages")).withColumnRenamed("source_id", "page_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_lines, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid, op8_string_tiling, op9_surrogates)
+    f.__name__: f for f in (op1_quality_lines, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid, op8_string_tiling, op9_surrogates, op10_warc_derive)
 }
 ORACLES: dict[str, str] = {
     "op5_curriculum_mixture": curriculum.MIXTURE_SQL.format(documents="documents"),

@@ -20,18 +20,17 @@ shard and an empty result. A task that is run again writes the same bytes under
 from __future__ import annotations
 
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotcraft.llm import words as W
+from lotcraft.llm.files import put, store_of
 from lotcraft.sources.staging import cut_lineage, new_folder
 
 MAGIC = b"TOKRANK1"
@@ -216,21 +215,6 @@ def unpack(block: memoryview) -> tuple[np.ndarray, int]:
     return ranks, 8 + controls + size
 
 
-def _store(folder: str) -> tuple[pafs.FileSystem, str]:
-    if folder.startswith("file:"):
-        folder = "/" + folder[5:].lstrip("/")
-    return pafs.FileSystem.from_uri(folder)
-
-
-def _put(store: pafs.FileSystem, path: str, parts: list[bytes]) -> None:
-    """Write under another name first: a file with its own name is always whole."""
-    draft = f"{path}.{uuid.uuid4().hex}.part"
-    with store.open_output_stream(draft) as out:
-        for part in parts:
-            out.write(part)
-    store.move(draft, path)
-
-
 def _shard(blocks: list[bytes], ids: list[int], counts: list[int]) -> list[bytes]:
     index = [np.array(ids, "<i8").tobytes(), np.array(counts, "<u8").tobytes()]
     place = sum(map(len, blocks))
@@ -249,12 +233,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc_id: str =
     by_rank = ranked_ids(ids, vocabulary, kind)
     rank = np.empty(vocabulary, np.int32)
     rank[by_rank] = np.arange(vocabulary, dtype=np.int32)
-    store, place = _store(folder)
+    store, place = store_of(folder)
     store.create_dir(place, recursive=True)
-    _put(store, f"{place}/ranks.bin", [by_rank.astype("<u4").tobytes()])
+    put(store, f"{place}/ranks.bin", [by_rank.astype("<u4").tobytes()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, root = _store(folder)
+        target, root = store_of(folder)
         part = TaskContext.get().partitionId()
         blocks: list[bytes] = []
         waiting: list[np.ndarray] = []
@@ -277,7 +261,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, doc_id: str =
             nonlocal size, made
             close_block(1)
             name = f"shard-{part:06d}-{made:06d}.tok"
-            _put(target, f"{root}/{name}", _shard(blocks, doc_ids, counts))
+            put(target, f"{root}/{name}", _shard(blocks, doc_ids, counts))
             row = pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([len(doc_ids)]), pa.array([sum(counts)])], ["shard", "n_docs", "n_tokens"])
             blocks.clear(), doc_ids.clear(), counts.clear()
@@ -327,7 +311,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, shard, row, local_start, n_tokens, ids_crc32) of every document in the shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        store, root = store_of(folder)
         with store.open_input_stream(f"{root}/ranks.bin") as ranks:
             by_rank = np.frombuffer(ranks.read(), "<u4")
         for batch in batches:
