@@ -22,7 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="lotcraft-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="lotcraft-")
+    return _local_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -30,6 +32,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by `new_folder` that nothing reads any more."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     """Write the frame once and read it back.
 
