@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, string_tiling, surrogates, token_files, warc_derive
+from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, string_tiling, suffix_index, surrogates, token_files, warc_derive
 
 
 # A deployment passes its own secret.
@@ -23,6 +23,10 @@ def op1_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_lines.clean_lines(_table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op2_suffix_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.remove_repeats(_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -56,7 +60,7 @@ def op10_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_lines, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid, op8_string_tiling, op9_surrogates, op10_warc_derive)
+    f.__name__: f for f in (op1_quality_lines, op2_suffix_index, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid, op8_string_tiling, op9_surrogates, op10_warc_derive)
 }
 ORACLES: dict[str, str] = {
     "op5_curriculum_mixture": curriculum.MIXTURE_SQL.format(documents="documents"),

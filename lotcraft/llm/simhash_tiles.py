@@ -187,10 +187,12 @@ def one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     """
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     groups = near_groups(ids, **settings)
-    chosen = groups.where("doc_id <=> component_id").select(
-        F.col("doc_id").alias("__id")).groupBy("__id").agg(F.count("*").alias("__rows"))
+    chosen = cut_lineage(groups.where("doc_id <=> component_id").select(
+        F.col("doc_id").alias("__id")).groupBy("__id").agg(F.count("*").alias("__rows")), "chosen")
     kept = docs.join(chosen, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")))
     once = kept.where("__rows = 1").select(*docs.columns)
+    if chosen.where("__rows > 1").isEmpty():
+        return once
     again = kept.where("__rows > 1").groupBy("__id").agg(
         F.min(F.struct(F.col(text), *(F.col(c) for c in docs.columns if c != text))).alias("r"))
     return once.unionByName(again.select(*(F.col(f"r.{c}") for c in docs.columns)))

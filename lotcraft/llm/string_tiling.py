@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotcraft.llm import bitmap
 from lotcraft.llm import words as W
 from lotcraft.sources.staging import cut_lineage
 
@@ -30,7 +31,6 @@ LEAST = 5
 COVERAGE = 0.8
 FIRST_LENGTH = 20
 BITMAP_BYTES = 16 << 20
-_PARTS = 256
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -134,34 +134,6 @@ def _seeds(items: DataFrame, least: int) -> DataFrame:
         run, "item long, item_id long, text string, n_words long, size int, seeds array<long>").where("size > 0")
 
 
-def _bitmap(seeds: DataFrame, size: int) -> np.ndarray:
-    """Bits of all seeds; the parts reach the driver as bytes, `size` of them at most."""
-    part = size // _PARTS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
-        for batch in batches:
-            at = _places(batch.column(0).to_numpy().view(np.uint64), size)
-            for p in np.unique(at // (8 * part)).tolist():
-                bits = found.setdefault(p, np.zeros(part, np.uint8))
-                own = at[at // (8 * part) == p] - 8 * part * p
-                np.bitwise_or.at(bits, own >> 3, np.uint8(1) << (own & 7).astype(np.uint8))
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found)), pa.array([b.tobytes() for b in found.values()], pa.binary())], ["part", "bits"])
-
-    keyed = seeds.select("seed", F.pmod("seed", F.lit(8 * size)).alias("place"))
-    dealt = keyed.repartition((F.col("place") / (8 * part)).cast("int")).select("seed")
-    out = np.zeros(size, np.uint8)
-    for row in dealt.mapInArrow(run, "part long, bits binary").collect():
-        out[row["part"] * part : (row["part"] + 1) * part] |= np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def _places(seeds: np.ndarray, size: int) -> np.ndarray:
-    return (seeds & np.uint64(8 * size - 1)).astype(np.int64)
-
-
 def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
           item_id: str = "item_id", item_text: str = "text", least: int = LEAST,
           coverage: float = COVERAGE, bitmap_bytes: int = BITMAP_BYTES) -> DataFrame:
@@ -172,7 +144,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: st
         F.col(item_text).cast("string").alias("text")), least), "items")
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most `least`
     seeds = known.select("item", "n_words", F.size("seeds").alias("n_seeds"), F.explode("seeds").alias("seed"))
-    shared = spark.sparkContext.broadcast(_bitmap(seeds, bitmap_bytes))
+    shared = spark.sparkContext.broadcast(bitmap.build(seeds.select("seed"), bitmap_bytes))
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -183,8 +155,7 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: st
                 rows, hits = [], []
                 for size in sizes:
                     window = _windows(tokens, size)
-                    at = _places(window, bits.size)
-                    hit = np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
+                    hit = np.flatnonzero(bitmap.contains(bits, window))
                     hit = hit[row[hit] == row[hit + size - 1]]
                     rows.append(row[hit]), hits.append(window[hit])
                 if not sizes or not any(r.size for r in rows):
