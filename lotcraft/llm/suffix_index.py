@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ from lotcraft.sources.staging import cut_lineage, new_folder, remove_folder
 MATCH = 100
 GRAM = 32
 BATCHES = 4
-BITMAP_BYTES = 32 << 20
+BITMAP_BYTES = 8 << 20
 MOST_SEGMENTS = 4096
 _CLASSES_AT_ONCE = 8192
 _LEAST = -(1 << 63)
@@ -197,9 +198,8 @@ def _noted_keys(docs: DataFrame, match: int, gram: int, batches: int) -> DataFra
     return noted
 
 
-def _segments(docs: DataFrame, noted: np.ndarray, match: int, gram: int) -> DataFrame:
+def _segments(docs: DataFrame, shared: Broadcast, match: int, gram: int) -> DataFrame:
     """(key, segment, doc, start) of the segments at noted suffixes."""
-    shared = docs.sparkSession.sparkContext.broadcast(noted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, ids, _, runs, start in _chunk_runs(batches, match, gram):
@@ -237,12 +237,11 @@ def _merged(start: np.ndarray, end: np.ndarray, owner: np.ndarray) -> tuple[np.n
 FOUND = ("doc long, code long, spans binary, key long, segment long, start long, windows long, bytes binary")
 
 
-def _found(docs: DataFrame, noted: np.ndarray, firsts: np.ndarray, varied: np.ndarray, match: int, gram: int) -> DataFrame:
+def _found(docs: DataFrame, noted: Broadcast, firsts: Broadcast, varied: Broadcast, match: int, gram: int) -> DataFrame:
     """Per text the spans that are repeats for certain, and rows for the segments in doubt."""
-    shared = docs.sparkSession.sparkContext.broadcast((noted, firsts, varied))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, places, several = shared.value
+        keys, places, several = noted.value, firsts.value, varied.value
         for data, _, ids, rows, runs, start in _chunk_runs(batches, match, gram):
             hit = np.flatnonzero(bitmap.contains(keys, runs.key))
             if not hit.size:
@@ -360,12 +359,13 @@ def _compared_in_table(first: DataFrame, match: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, *, match: int = MATCH, gram: int = GRAM, batches: int = BATCHES,
                    bitmap_bytes: int = BITMAP_BYTES, most_segments: int = MOST_SEGMENTS) -> DataFrame:
     """(doc, code, spans): the spans to remove from the rows of `docs` (doc, code, text) that have any."""
-    noted = bitmap.build(_noted_keys(docs, match, gram, batches), bitmap_bytes)
+    share = docs.sparkSession.sparkContext.broadcast
+    noted = share(bitmap.build(_noted_keys(docs, match, gram, batches), bitmap_bytes))
     classes = cut_lineage(_segments(docs, noted, match, gram).groupBy("key", "segment").agg(
         F.min(F.struct("doc", "start")).alias("first")), "segments")
     varied = cut_lineage(classes.groupBy("key").agg(F.count("*").alias("variants")).where("variants > 1"), "varied")
-    firsts = bitmap.build(_place_hashes(classes), bitmap_bytes)
-    several = bitmap.build(varied.select("key"), bitmap_bytes)
+    firsts = share(bitmap.build(_place_hashes(classes), bitmap_bytes))
+    several = share(bitmap.build(varied.select("key"), bitmap_bytes))
 
     found = cut_lineage(_found(docs, noted, firsts, several, match, gram), "found")
     doubt = found.where("key is not null").select("doc", "code", "key", "segment", "start", "windows", "bytes")
