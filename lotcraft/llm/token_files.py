@@ -19,12 +19,13 @@ shard and an empty result. A task that is run again writes the same bytes under
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,15 +44,46 @@ CACHE_WORDS = 400_000
 
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])[None, :] & 3).astype(np.uint8) + np.uint8(1)
 
-# Texts in which words are parted by more than single spaces and line feeds are encoded whole.
-_IRREGULAR = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]")
+# How a byte-level vocabulary parts a text before its merges, and the characters
+# that stand for the bytes in it: printable Latin-1 for itself, the others from U+0100 on.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_AS_CHARACTER = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_OTHERS)}
+
+_PIECES = regex.compile(PATTERN)
+
+
+def regular_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which texts are words parted by single spaces and line feeds; the others are encoded whole.
+
+    So are texts with characters beyond Latin and common punctuation, where the classes of two
+    libraries may differ by their Unicode versions.
+    """
+    out = offsets[1:] > offsets[:-1]
+    if not data.size:
+        return out
+    blank = (data == 32) | (data == 10)
+    odd = (data < 32) & (data != 10)
+    odd[1:] |= blank[1:] & blank[:-1]
+    lead = np.flatnonzero((data == 0xC2) | (data >= 0xC9))
+    first, one, two = (data[np.minimum(lead + k, data.size - 1)] for k in range(3))
+    usual = (first == 0xC2) & (one != 0x85) & (one != 0xA0)
+    usual |= (first == 0xE2) & (one == 0x80) & (two >= 0x90) & (two <= 0xA7)
+    usual |= (first == 0xE2) & (one == 0x82) & (two == 0xAC)
+    odd[lead[~usual]] = True
+    full = np.flatnonzero(out)
+    out[full] = ~blank[offsets[full]] & ~blank[offsets[full + 1] - 1]
+    out[np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1] = False
+    return out
 
 
 class Encoder:
     """Ids of texts by the tokenizers library, each distinct word of a regular text encoded once.
 
-    The tokenizer's pattern starts a new piece at a space before a word and at a line feed
-    between words, so a text's ids are those of its words one after another.
+    A byte-level vocabulary parts a text by its pattern and merges each piece alone. The pattern
+    starts a new piece at a space before a word and at a line feed between words, so that a
+    text's ids are those of its words one after another. Any other tokenizer encodes texts whole.
     """
 
     def __init__(self, path: str):
@@ -61,70 +93,72 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {}
-        self.feed = self._whole("\n")
-        if len(self.feed) != 4:
-            raise ValueError("the tokenizer does not encode a line feed as one id")
+        self.pieces: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        before = parts.get("pre_tokenizer") or {}
+        self.by_word = (
+            before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
+            and before.get("use_regex", True) and parts.get("normalizer") is None
+            and parts["model"]["type"] == "BPE" and not parts["model"].get("dropout"))
+        self.feed = self._whole("\n") if self.by_word else b""
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        characters = piece.encode().decode("latin-1").translate(_AS_CHARACTER)
+        ids = [t.id for t in self.tokenizer.model.tokenize(characters)]
+        return np.array(ids, np.uint32).tobytes()
+
     def _listed(self, words: list[str], lead: str) -> list[bytes]:
-        """Ids of `lead + word` for every word: encoded as lines, cut at the line feeds' id."""
-        out: list[bytes] = []
-        feed = int(np.frombuffer(self.feed, np.uint32)[0])
+        """Ids of `lead + word` for every word without a blank."""
+        pieces, out = self.pieces, []
         for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            ids = np.array(self.tokenizer.encode("\n".join([lead + w for w in part]), add_special_tokens=False).ids,
-                           np.uint32)
-            cuts = (np.flatnonzero(ids == feed) * 4).tolist()
-            whole = ids.tobytes()
-            starts = [0, *(c + 4 for c in cuts)]
-            found = [whole[a:b] for a, b in zip(starts, [*cuts, len(whole)], strict=True)]
-            if len(found) != len(part):
-                raise ValueError("the tokenizer does not part words at line feeds")
-            out += found
+            now: list[bytes] = []
+            for piece in _PIECES.findall("\n".join([lead + w for w in words[i : i + 4096]])):
+                if piece == "\n":
+                    out.append(b"".join(now))
+                    now = []
+                    continue
+                ids = pieces.get(piece)
+                if ids is None:
+                    ids = self._piece(piece)
+                    if len(pieces) < CACHE_WORDS // 2:
+                        pieces[piece] = ids
+                now.append(ids)
+            out.append(b"".join(now))
+        if len(out) != len(words):
+            raise ValueError("a word holds a line feed")
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], regular: np.ndarray) -> list[bytes]:
         """Ids of every text as little-endian u32."""
         parts: list[list[str] | None] = []
         fresh: set[str] = set()
         known = self.known
-        for text in texts:
-            if not text or _IRREGULAR.search(text):
+        for text, plain in zip(texts, regular.tolist(), strict=True):
+            if not plain or not self.by_word:
                 parts.append(None)
                 continue
             # \r marks the text's first word and \n a line's first: neither follows a space.
             pieces = ("\r" + text.replace("\n", " \n")).split(" ")
             parts.append(pieces)
-            fresh.update(pieces)
-        fresh.difference_update(known)
-        table = known
+            fresh.update([p for p in pieces if p not in known])
+        full = len(known) >= CACHE_WORDS
         if fresh:
             spaced = [p for p in fresh if p[0] not in "\r\n"]
-            first = [p for p in fresh if p[0] == "\r"]
-            lines = [p for p in fresh if p[0] == "\n"]
-            added = dict(zip(spaced, self._listed(spaced, " "), strict=True))
-            added.update(zip(first, self._listed([p[1:] for p in first], ""), strict=True))
-            added.update(zip(lines, [self.feed + b for b in self._listed([p[1:] for p in lines], "")], strict=True))
-            if len(known) < CACHE_WORDS:
-                known.update(added)
-            else:
-                table = _Both(known, added)
-        find = table.__getitem__
-        return [b"".join(map(find, p)) if p is not None else self._whole(t) if t else b""
-                for p, t in zip(parts, texts, strict=True)]
-
-
-class _Both(dict):
-    """The words of this call, then the remembered ones."""
-
-    def __init__(self, known: dict[str, bytes], added: dict[str, bytes]):
-        super().__init__(added)
-        self.known = known
-
-    def __missing__(self, word: str) -> bytes:
-        return self.known[word]
+            bare = [p for p in fresh if p[0] in "\r\n"]
+            known.update(zip(spaced, self._listed(spaced, " "), strict=True))
+            known.update((p, self.feed + ids if p[0] == "\n" else ids)
+                         for p, ids in zip(bare, self._listed([p[1:] for p in bare], ""), strict=True))
+        find = known.__getitem__
+        out = [b"".join(map(find, p)) if p is not None else self._whole(t) if t else b""
+               for p, t in zip(parts, texts, strict=True)]
+        if full:
+            for word in fresh:
+                del known[word]
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -149,7 +183,8 @@ def encoded(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
             data, offsets = W.text_arrays(column)
             for a, b in W.chunks(data, offsets):
                 texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
-                ids = [np.frombuffer(i, np.uint32).astype(kind).tobytes() + end for i in own.encode(texts)]
+                regular = regular_texts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                ids = [np.frombuffer(i, np.uint32).astype(kind).tobytes() + end for i in own.encode(texts, regular)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
