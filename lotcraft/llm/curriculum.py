@@ -89,7 +89,7 @@ def _streamed(rows: DataFrame, sized: DataFrame, weights: tuple, slopes: tuple,
 
 def position(offset: Column, target: Column, slope: Column) -> Column:
     """Training time at which a source has demanded `offset` of its `target` words."""
-    part = offset.cast("double") / target
+    part = F.try_divide(offset.cast("double"), target)  # null for a source without words
     return 2 * part / ((1 - slope) + F.sqrt((1 - slope) * (1 - slope) + 4 * slope * part))
 
 
