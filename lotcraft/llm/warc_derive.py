@@ -37,6 +37,7 @@ from lotcraft.sources.staging import cut_lineage, new_folder
 
 DATE = "2000-01-01T00:00:00Z"
 FILE_BYTES = 32 << 20
+_STEP_BYTES = 8 << 10
 _NAMESPACE = uuid.UUID("8d3c0f9a-55b1-4f0e-9d57-2f6d4c1b7e10")
 
 # Elements that end a line, and elements whose content is not text.
@@ -202,16 +203,20 @@ def write_derivatives(source: DataFrame, folder: str, file_bytes: int = FILE_BYT
 
 def records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(fields, block) of every record of a file, one gzip member each or plain."""
-    data = memoryview(content)
-    while len(data):
-        if data[:2] == b"\x1f\x8b":
-            reader = zlib.decompressobj(31)
-            one = reader.decompress(data)
-            data = data[len(data) - len(reader.unused_data) :]
-            yield from _plain(one)
-        else:
-            yield from _plain(bytes(data))
+    at = 0
+    while at < len(content):
+        if content[at : at + 2] != b"\x1f\x8b":
+            yield from _plain(content[at:])
             return
+        reader, parts = zlib.decompressobj(31), []
+        # In steps, as what a member leaves over of its last step is copied.
+        while not reader.eof:
+            step = content[at : at + _STEP_BYTES]
+            if not step:
+                raise ValueError("a WARC file ends within a record")
+            parts.append(reader.decompress(step))
+            at += len(step) - len(reader.unused_data)
+        yield from _plain(b"".join(parts))
 
 
 def _plain(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
