@@ -146,7 +146,8 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
     left = left.where(" and ".join(f"q{i} between 0 and {64 // PARTS}" for i in range(PARTS)))
     right = laid.select(*(F.col(f"p{i}").alias(f"q{i}") for i in range(PARTS)),
                         F.col("sub").alias("sub_b"), F.col("fps").alias("b"))
-    pairs = left.join(right, [f"q{i}" for i in range(PARTS)]).where("not same_cell or sub_a <= sub_b")
+    # Each tile has become one row for every step: its size on disk says nothing about that.
+    pairs = left.join(right.hint("merge"), [f"q{i}" for i in range(PARTS)]).where("not same_cell or sub_a <= sub_b")
     pairs = pairs.select((F.col("same_cell") & (F.col("sub_a") == F.col("sub_b"))).alias("same"), "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,16 +184,19 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 def one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of each group's smallest id, once: repeated rows of that id keep the least text.
 
-    Rows of a group in which every id is null share one row.
+    The others are taken out by their ids, which are fewer than those that stay. Rows without an
+    id cannot be told apart by it and always stay.
     """
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    groups = near_groups(ids, **settings)
-    chosen = cut_lineage(groups.where("doc_id <=> component_id").select(
-        F.col("doc_id").alias("__id")).groupBy("__id").agg(F.count("*").alias("__rows")), "chosen")
-    kept = docs.join(chosen, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")))
-    once = kept.where("__rows = 1").select(*docs.columns)
-    if chosen.where("__rows > 1").isEmpty():
-        return once
-    again = kept.where("__rows > 1").groupBy("__id").agg(
+    groups = cut_lineage(near_groups(ids, **settings), "groups")
+    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
+    own = F.col(doc_id).cast("long") == F.col("__id")
+    kept = docs.join(others, own, "left_anti")
+    twice = cut_lineage(groups.where("doc_id = component_id").groupBy("doc_id").agg(
+        F.count("*").alias("__rows")).where("__rows > 1").select(F.col("doc_id").alias("__id")), "twice")
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, own, "left_semi").groupBy(F.col(doc_id).cast("long")).agg(
         F.min(F.struct(F.col(text), *(F.col(c) for c in docs.columns if c != text))).alias("r"))
-    return once.unionByName(again.select(*(F.col(f"r.{c}") for c in docs.columns)))
+    return kept.join(twice, own, "left_anti").unionByName(
+        again.select(*(F.col(f"r.{c}") for c in docs.columns)))
