@@ -22,7 +22,8 @@ TABLES = (
 
 
 def _id(column: str, width: int) -> str:
-    return f"lpad(CAST({column} AS STRING), {width}, '0')"
+    text = f"CAST({column} AS STRING)"
+    return f"lpad({text}, CAST(greatest({width}, length({text})) AS INT), '0')"
 
 
 def _day(column: str) -> str:
@@ -101,7 +102,7 @@ DOMAIN = {
                CASE WHEN o_orderkey % 3 = 0 THEN 'yes' ELSE 'no' END AS forecast_override_flag,
                'T-' || CAST(o_orderkey AS STRING) AS ticket_custom_id,
                o_orderpriority AS ticket_title,
-               CASE o_orderstatus WHEN 'F' THEN 'Published in SBM'
+               CASE o_orderstatus WHEN 'F' THEN 'Published'
                     WHEN 'O' THEN 'Awaiting for Supplier input' ELSE 'Draft' END AS ticket_status,
                CASE WHEN o_custkey % 9 = 0 THEN 'n/a' ELSE CAST(o_custkey % 365 AS STRING) END
                    AS pipo_horizon_days,
@@ -301,7 +302,7 @@ DOMAIN = {
                END AS ticket_owner,
                CASE WHEN o_orderkey % 2 = 0 THEN '1' ELSE '2' END AS scale_scenario_type,
                CAST(CAST(o_orderdate AS DATE) AS STRING) AS supplier_deadline,
-               CASE o_orderstatus WHEN 'F' THEN 'Published in SBM'
+               CASE o_orderstatus WHEN 'F' THEN 'Published'
                     WHEN 'O' THEN 'Awaiting for Supplier input' ELSE 'Draft' END AS ticket_status,
                'buyer@example.com' AS buyer_email, 'supplier@example.com' AS supplier_email,
                'no' AS flag_supplier_inv_storage, o_orderpriority AS ticket_title
@@ -344,7 +345,7 @@ DOMAIN = {
                CASE WHEN o_orderkey % 2 = 0 THEN '1' ELSE '2' END AS quotation_scenario_type,
                'Q-' || CAST(o_orderkey AS STRING) AS ticket_custom_id,
                {_id('o_orderkey', 7)} AS supplier_input_ticket_id, o_orderpriority AS ticket_title,
-               CASE o_orderstatus WHEN 'F' THEN 'Published in SBM' ELSE 'Draft' END
+               CASE o_orderstatus WHEN 'F' THEN 'Published' ELSE 'Draft' END
                    AS ticket_status,
                'supplier@example.com' AS supplier_email,
                CAST(CAST(o_orderdate AS DATE) AS STRING) AS supplier_deadline_date

@@ -364,7 +364,7 @@ SPEND = "price_purch_rate_usd / price_unit_factor * qty_forecast_n12"
     SELECT ticket_custom_id, abc_mat_fam_new_msm, {R('spend', 2)} AS total_family_spend,
            {R('sum(spend) OVER (PARTITION BY ticket_custom_id)', 2)} AS total_ticket_spend,
            {R('spend / sum(spend) OVER (PARTITION BY ticket_custom_id) * 100', 2)} AS percentage,
-           CAST(trunc(spend) AS INT) AS annual_fcst_consumption_fam
+           CAST(trunc(spend) AS BIGINT) AS annual_fcst_consumption_fam
     FROM spent""")
 def _(f):
     shares = K.spend_and_share(f.line.withColumn("spend_material_current", K.spend()))

@@ -142,7 +142,7 @@ MISSING_QUOTATION = """
         SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code,
                s.ticket_id AS quotation_summary_ticket_id, s.ticket_custom_id
         FROM {input} i JOIN (SELECT * FROM {quotation_summary}
-                             WHERE ticket_status = 'Published in SBM') s
+                             WHERE ticket_status = 'Published') s
           ON i.ticket_id = s.supplier_input_ticket_id
         ANTI JOIN (SELECT * FROM {scale_fact} WHERE mpq_scale_qty > 25) q
           ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
@@ -150,7 +150,7 @@ MISSING_QUOTATION = """
 
 
 def _missing_quotation(f):
-    published = f.quotation_summary.filter("ticket_status = 'Published in SBM'")
+    published = f.quotation_summary.filter("ticket_status = 'Published'")
     return Q.missing_quotation(f.input, published, f.scale_fact.filter("mpq_scale_qty > 25"))
 
 
@@ -179,7 +179,7 @@ def _(f):
 @query("recently_published", """
     SELECT ticket_id, modified_date, ticket_status FROM {ticket}
     WHERE date_diff('day', CAST(modified_date AS DATE), DATE '1998-01-01') < 7
-      AND ticket_status = 'Published in SBM'""")
+      AND ticket_status = 'Published'""")
 def _(f):
     return Q.recently_published(f.ticket, AS_OF).select("ticket_id", "modified_date",
                                                         "ticket_status")
@@ -188,7 +188,7 @@ def _(f):
 OWNED = f"""
     {MISSING_QUOTATION},
     tickets AS (SELECT DISTINCT ticket_id, ticket_owner, ticket_status FROM {{ticket}}
-                WHERE ticket_status = 'Published in SBM'),
+                WHERE ticket_status = 'Published'),
     planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
                        vendor_name FROM {{plan}}),
     owned AS (
@@ -235,7 +235,7 @@ def _(f):
           ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
           AND q.material_id = i.material_id AND q.plant_code = i.plant_code),
     tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {ticket}
-                WHERE ticket_status = 'Published in SBM'),
+                WHERE ticket_status = 'Published'),
     planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
                        vendor_name FROM {plan})
     SELECT m.material_id, m.plant_code, m.vendor_id, p.vendor_name, m.ticket_id,
@@ -327,6 +327,16 @@ def _(f):
                              F.col("supplier_deadline_date").cast("string"))
 
 
+@query("reminders_on_saturday", """
+    SELECT vendor_id, CAST(supplier_deadline_date AS STRING) AS supplier_deadline_date,
+           ticket_status, ticket_id, last_reminder FROM {history}""")
+def _(f):
+    saturday = AS_OF + dt.timedelta(days=(5 - AS_OF.weekday()) % 7)
+    kept = N.advance_reminder_history(f.ticket, f.history, saturday)
+    return kept.withColumn("supplier_deadline_date",
+                           F.col("supplier_deadline_date").cast("string"))
+
+
 @query("is_business_day", """
     SELECT isodow(CAST(o_orderdate AS DATE)) <= 5 AS business_day, count(*) AS n_rows
     FROM orders GROUP BY business_day""")
@@ -337,7 +347,7 @@ def _(f):
 
 @query("missing_quotation_digest", f"""
     WITH published AS (
-        SELECT * FROM {{quotation_summary}} WHERE ticket_status = 'Published in SBM'
+        SELECT * FROM {{quotation_summary}} WHERE ticket_status = 'Published'
            AND date_diff('day', CAST(modified_date AS DATE), DATE '1998-01-01') < 7),
     missing AS (
         SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code, s.ticket_custom_id
@@ -346,7 +356,7 @@ def _(f):
           ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
           AND q.material_id = i.material_id AND q.plant_code = i.plant_code),
     tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {{ticket}}
-                WHERE ticket_status = 'Published in SBM'),
+                WHERE ticket_status = 'Published'),
     planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
                        vendor_name FROM {{plan}}),
     routed AS (

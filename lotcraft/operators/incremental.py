@@ -40,9 +40,13 @@ def advance_reminder_history(
 ) -> DataFrame:
     """Next reminder state: overdue tickets with their counter raised by one.
 
+    On a weekend no reminder goes out, so the history stays as it is.
+
     Without `seed`, the counters of the existing history are raised and nothing is added.
     The result is a new snapshot, written beside the one that was read.
     """
+    if as_of.weekday() >= 5:
+        return history
     if not seed:
         return history.withColumn("last_reminder", F.col("last_reminder") + 1)
     overdue = summary.filter(is_overdue(as_of, deadline))

@@ -12,7 +12,7 @@ from lotcraft.functions import id_number, left_padded
 from lotcraft.functions.columns import MATERIAL_WIDTH, VENDOR_WIDTH
 
 DIGEST_ROWS = 100
-PUBLISHED = "Published in SBM"
+PUBLISHED = "Published"
 AWAITING = "awaiting for supplier%"
 REMINDER_EVERY = 3
 REMINDER_KEYS = ["vendor_id", "supplier_deadline_date", "ticket_status", "ticket_id"]

@@ -108,7 +108,10 @@ def payload_fact(fact: DataFrame, run_time: dt.datetime) -> DataFrame:
         "current_annual_runs_weighted": "annual_run_segment_weighted",
     }).withColumn("timestamp", F.lit(run_time.isoformat(sep=" ")))
     blanked = Y.nulls_to_blank(named)
-    return Y.row_json(blanked, [c for c in S.PAYLOAD_COLUMNS if c in blanked.columns])
+    missing = [c for c in S.PAYLOAD_COLUMNS if c not in blanked.columns]
+    if missing:
+        raise ValueError(f"the payload is positional and lacks {', '.join(missing)}")
+    return Y.row_json(blanked, S.PAYLOAD_COLUMNS)
 
 
 def run(

@@ -219,6 +219,8 @@ def test_reminder_history_advances(frame):
     after = N.advance_reminder_history(_tickets(frame), _history(frame), MONDAY)
     assert values(after, "ticket_id", "last_reminder") == [
         ("mute", 1), ("new", 1), ("three", 4), ("two", 3)]
+    weekend = N.advance_reminder_history(_tickets(frame), _history(frame), dt.date(2024, 1, 6))
+    assert values(weekend) == values(_history(frame))
     only = N.advance_reminder_history(_tickets(frame), _history(frame), MONDAY, seed=False)
     assert values(only, "ticket_id", "last_reminder") == [("new", 3), ("three", 4), ("two", 3)]
 
