@@ -19,11 +19,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotcraft.llm import bitmap
 from lotcraft.llm import words as W
 from lotcraft.llm.components import components
 from lotcraft.sources.staging import cut_lineage
@@ -33,6 +35,7 @@ SEED = 42
 RADIUS = 4
 PARTS = 4
 TILE_ROWS = 2048
+BITMAP_BYTES = 8 << 20
 _ROWS_AT_ONCE = 64
 
 
@@ -181,22 +184,41 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+def _marked_in(spark: SparkSession, ids: DataFrame, bitmap_bytes: int):
+    """Column function: whether an id may be in `ids`; it never misses one that is."""
+    shared = spark.sparkContext.broadcast(bitmap.build(ids.select(F.xxhash64("__id")), bitmap_bytes))
+
+    @F.pandas_udf("boolean")
+    def marked(hashes: pd.Series) -> pd.Series:
+        return pd.Series(bitmap.contains(shared.value, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    return lambda own: own.isNotNull() & marked(F.xxhash64(own))
+
+
+def one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                  bitmap_bytes: int = BITMAP_BYTES, **settings) -> DataFrame:
     """The rows of each group's smallest id, once: repeated rows of that id keep the least text.
 
-    The others are taken out by their ids, which are fewer than those that stay. Rows without an
-    id cannot be told apart by it and always stay.
+    The ids to take out are marked in a bitmap of a fixed size. Rows whose id is not marked stay
+    where they are; ids that share a mark by chance are found by an exact join of ids alone, and
+    only their rows are joined. Rows without an id cannot be told apart by it and always stay.
     """
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     groups = cut_lineage(near_groups(ids, **settings), "groups")
     others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    own = F.col(doc_id).cast("long") == F.col("__id")
-    kept = docs.join(others, own, "left_anti")
+    own = F.col(doc_id).cast("long")
+    marked = _marked_in(docs.sparkSession, others, bitmap_bytes)
+    by_chance = groups.select(F.col("doc_id").alias("__id")).where(marked(F.col("__id"))).distinct()
+    spared = cut_lineage(by_chance.join(others, "__id", "left_anti"), "spared")
+    own_id = own == F.col("__id")
+    kept = docs.where(~marked(own))
+    if not spared.isEmpty():
+        kept = kept.unionByName(docs.where(marked(own)).join(spared, own_id, "left_semi"))
     twice = cut_lineage(groups.where("doc_id = component_id").groupBy("doc_id").agg(
         F.count("*").alias("__rows")).where("__rows > 1").select(F.col("doc_id").alias("__id")), "twice")
     if twice.isEmpty():
         return kept
-    again = kept.join(twice, own, "left_semi").groupBy(F.col(doc_id).cast("long")).agg(
+    again = kept.join(twice, own_id, "left_semi").groupBy(own).agg(
         F.min(F.struct(F.col(text), *(F.col(c) for c in docs.columns if c != text))).alias("r"))
-    return kept.join(twice, own, "left_anti").unionByName(
+    return kept.join(twice, own_id, "left_anti").unionByName(
         again.select(*(F.col(f"r.{c}") for c in docs.columns)))

@@ -152,6 +152,17 @@ def test_one_per_group_keeps_one_row(docs):
     assert len(ids) == len(set(ids)) and 5 in ids and 2 in ids and not {3, 4} & set(ids)
 
 
+def test_ids_that_share_a_mark_by_chance_stay(spark):
+    # 2048 marks for 600 ids to take out: many of the 3000 others are marked as well.
+    texts = [(i, f"text number {i} has its own words {i * 7} and {i * 13} here") for i in range(3000)]
+    copies = [(5000 + i, t) for i, t in texts[:600]]
+    frame = spark.createDataFrame([*texts, *copies], "doc_id long, text string")
+    small = simhash_tiles.one_per_group(frame, bitmap_bytes=256, radius=0)
+    large = simhash_tiles.one_per_group(frame, radius=0)
+    groups = {r["component_id"] for r in simhash_tiles.near_groups(frame, radius=0).collect()}
+    assert sorted(r["doc_id"] for r in small.collect()) == sorted(r["doc_id"] for r in large.collect()) == sorted(groups)
+
+
 def test_components(frame):
     links = frame("a long, b long", (1, 2), (3, 2), (5, 4), (6, 6), (9, 8), (8, 7), (7, 3), (2, 1), (None, 1))
     assert sorted(map(tuple, components.components(links).collect())) == [
