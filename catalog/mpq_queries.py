@@ -297,19 +297,29 @@ def _(f):
     WITH cleaned AS (
         SELECT {PLAIN} AS json FROM documents WHERE lang IN ('en', 'fr')),
     counted AS (
-        SELECT json, count(*) AS copies, CAST('0x' || substr(md5(json), 1, 8) AS BIGINT) % 16
-                   AS bucket
+        SELECT json, count(*) AS copies, CAST('0x' || substr(md5(json), 1, 8) AS BIGINT) AS code
         FROM cleaned GROUP BY json),
-    slices AS (
-        SELECT json, bucket, slice, CASE WHEN slice = 0 THEN copies % 4 ELSE 4 END AS times
-        FROM counted, range(0, 1000) AS r(slice) WHERE slice <= copies // 4)
+    needed AS (SELECT greatest(1, CAST(ceil(sum(copies % 4) / 4) AS BIGINT)) AS n FROM counted),
+    placed AS (
+        SELECT json, copies % 4 AS rest, code % n AS bucket FROM counted, needed
+        WHERE copies % 4 > 0),
+    started AS (
+        SELECT *, CAST(sum(rest) OVER (PARTITION BY bucket ORDER BY encode(json)) AS BIGINT) - rest
+                  AS start FROM placed),
+    pieces AS (
+        SELECT json, bucket, start // 4 + k AS slice,
+               least(start + rest, (start // 4 + k + 1) * 4) - greatest(start, (start // 4 + k) * 4)
+               AS times
+        FROM started, range(0, 2) AS r(k)),
+    own AS (SELECT json, unnest(range(copies // 4)) AS slice FROM counted)
     SELECT bucket, slice, CAST(sum(times) AS BIGINT) AS rows,
            string_agg(repeat(json || ',', CAST(times - 1 AS INT)) || json, ','
                       ORDER BY encode(json)) AS body
-    FROM slices WHERE times > 0
-    GROUP BY bucket, slice, CASE WHEN slice > 0 THEN json END""")
+    FROM pieces WHERE times > 0 GROUP BY bucket, slice
+    UNION ALL
+    SELECT -1, slice, 4, repeat(json || ',', 3) || json FROM own""")
 def _(f):
-    return Y.region_payload(_documents(f), ["en", "fr"], 4, 16, system="lang")
+    return Y.region_payload(_documents(f), ["en", "fr"], 4, system="lang")
 
 
 @query("write_payload", f"""

@@ -97,8 +97,9 @@ def test_no_window_over_raw_groups():
         for folder, name in _modules()
         if re.search(r"Window\.partitionBy", open(os.path.join(folder, name)).read())
     ]
-    # The running share of rows above one rounding step, and the order inside a spot of the digest.
-    assert sorted(using) == ["functions/grouping.py", "operators/quality.py"]
+    # The running share of rows above one rounding step, and the order inside a spot of the
+    # digest and inside a bucket of the payload, both as many as the rows need.
+    assert sorted(using) == ["functions/grouping.py", "operators/payload.py", "operators/quality.py"]
 
 
 def test_no_row_reaches_the_driver_or_python():

@@ -92,14 +92,17 @@ def test_json_is_valid_and_blanks_are_text(frame):
 
 
 def test_payload_keeps_every_copy_in_bounded_bodies(frame):
-    rows = [("s", '{"v":"é1"}')] * 25 + [("s", f'{{"v":"{i}"}}') for i in range(40)]
-    df = frame("source_system_code string, jsonObject string", *rows, ("other", "x"))
-    bodies = Y.region_payload(df, ["s"], 10, 8).collect()
-    assert sum(b["rows"] for b in bodies) == 65
-    joined = ",".join(b["body"] for b in bodies)
-    assert joined.count('{"v":"1"}') == 26 and "é" not in joined and "x" not in joined
-    assert all(b["body"].count('{"v"') == b["rows"] for b in bodies)
-    assert all(b["rows"] == 10 for b in bodies if b["slice"] > 0)
+    for times in (1, 10):  # ten times the rows and ten batches of one text
+        rows = [("s", '{"v":"é1"}')] * 25 * times
+        rows += [("s", f'{{"v":"{i}"}}') for i in range(40 * times)]
+        df = frame("source_system_code string, jsonObject string", *rows, ("other", "x"))
+        bodies = Y.region_payload(df, ["s"], 10).collect()
+        assert sum(b["rows"] for b in bodies) == 65 * times
+        joined = ",".join(b["body"] for b in bodies)
+        assert joined.count('{"v":"1"}') == 25 * times + 1 and "é" not in joined and "x" not in joined
+        assert all(b["body"].count('{"v"') == b["rows"] <= 10 for b in bodies)
+        assert all(b["rows"] == 10 for b in bodies if b["bucket"] == -1)
+        assert len({(b["bucket"], b["slice"]) for b in bodies}) == len(bodies)
 
 
 def test_movements_and_usd_amounts(frame):
