@@ -251,6 +251,48 @@ def test_bloom_counts_never_miss(docs, table):
     assert (seen >= 0.66 * true).all() and np.mean(seen <= 2 * true) > 0.9
 
 
+def test_bloom_filter_grows_with_its_entries(table):
+    """Twice the different n-grams take about twice the bits, at a fill that stays."""
+    from lotcraft.llm import words as W
+    import pyarrow as pa
+
+    for frame in (table.limit(20), table):
+        hashes, before, _ = bloom_lm._token_hashes(*W.text_arrays(pa.array([r.text for r in frame.collect()])))
+        starts = np.full(frame.count(), bloom_lm._START_HASH)
+        unique, n = np.unique(np.concatenate([hashes, starts, bloom_lm._pair(before, hashes)]), return_counts=True)
+        entries = int((1 + np.floor(np.log2(n))).sum())
+        parts = [(r.segment, bytes(r.bits)) for r in bloom_lm.build_filter(frame).collect()]
+        model = bloom_lm.BloomCounts.of_parts(parts)
+        spare = 64 * len(parts)
+        assert bloom_lm.BITS_PER_ENTRY * entries <= 8 * model.bits.size <= bloom_lm.BITS_PER_ENTRY * entries + spare
+        assert (model.of(unique) >= 0.66 * n).all()
+        absent = np.random.default_rng(1).integers(0, 1 << 64, 200_000, np.uint64)
+        assert np.mean(model.levels(absent) > 0) < 0.015
+
+
+def test_bloom_scores_equal_exact_counts_held_or_dealt(docs, table):
+    for frame in (docs, table):
+        rows = [(r.doc_id, [*words(re.sub("[A-Z]", lambda m: m[0].lower(), r.text or "")), "\n"]) for r in frame.collect()]
+        held = {d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1 for d, _ in rows}
+        single, pairs = Counter(), Counter()
+        for d, ts in rows:
+            if not held[d]:
+                single.update(["", *ts])
+                pairs.update(zip(["", *ts], ts))
+        n, v = sum(single.values()) - single[""], len(single) - 1
+        level = lambda c: (3 * 2 ** (c.bit_length() - 1) - 1) / 2 if c else 0.0
+        exact = {}
+        for d, ts in rows:
+            exact[(str(d), len(ts))] = sum(
+                math.log10((min(level(pairs[u, w]), level(single[u])) + 20 * (level(single[w]) + 0.5) / (n + 0.5 * (v + 1)))
+                           / (level(single[u]) + 20)) for u, w in zip(["", *ts], ts))
+        got = [sorted(bloom_lm.score(frame, held_bytes=size).collect(), key=lambda r: (str(r.doc_id), r.n_tokens))
+               for size in (bloom_lm.HELD_BYTES, 0)]
+        assert got[0] == got[1] and len(got[0]) == len(rows)
+        off = [abs(r.score - exact[str(r.doc_id), r.n_tokens]) / r.n_tokens for r in got[0]]
+        assert np.mean(off) < 0.02, np.mean(off)
+
+
 def test_languages(spark, docs, table):
     got = {r.doc_id: r for r in centroid_langid.learn_and_identify(table).collect()}
     held = [(r.lang, got[r.doc_id].lang_pred) for r in table.collect() if got[r.doc_id].held_out]
