@@ -6,6 +6,7 @@ from lotcraft.functions.columns import (
     is_blank,
     left_padded,
     pad_left_keep_left,
+    pad_left_keep_right,
     parsed_number,
     region_code,
     settled_round,
@@ -34,6 +35,7 @@ __all__ = [
     "left_padded",
     "one_row_per_group",
     "pad_left_keep_left",
+    "pad_left_keep_right",
     "parsed_number",
     "region_code",
     "running_share",

@@ -33,6 +33,12 @@ def _col(value: str | Column) -> Column:
 
 
 def left_padded(value: str | Column, width: int) -> Column:
+    """Zero-pad to `width`; a longer value stays whole."""
+    text = _col(value).cast("string")
+    return F.when(F.length(text) > width, text).otherwise(F.lpad(text, width, "0"))
+
+
+def pad_left_keep_right(value: str | Column, width: int) -> Column:
     """Zero-pad to `width`; a longer value keeps its rightmost characters."""
     return F.right(F.concat(F.lit("0" * width), _col(value).cast("string")), F.lit(width))
 

@@ -14,7 +14,7 @@ from lotcraft.functions import (
     attach_lookup,
     equals_ignoring_case,
     latest_in_group,
-    pad_left_keep_left,
+    left_padded,
     settled_round,
     strip_leading_zeros,
 )
@@ -253,9 +253,9 @@ def enrich_agreements(
         "supplier_input_repeats",
     ).distinct()
     overrides = ovr.select(
-        pad_left_keep_left("vendor_id", VENDOR_WIDTH).alias("purchase_vendor_id"),
-        pad_left_keep_left("material_id", MATERIAL_WIDTH).alias("material_id"),
-        pad_left_keep_left("ticket_id", TICKET_WIDTH).alias("ticket_id"),
+        left_padded("vendor_id", VENDOR_WIDTH).alias("purchase_vendor_id"),
+        left_padded("material_id", MATERIAL_WIDTH).alias("material_id"),
+        left_padded("ticket_id", TICKET_WIDTH).alias("ticket_id"),
         "qty_forecast_override",
     )
     # An input row is matched to its override and ticket before it meets the agreement.
@@ -447,4 +447,4 @@ def padded_overrides(ovr: DataFrame) -> DataFrame:
     """Override keys padded from the left, as the planning steps expect them."""
     widths = {"vendor_id": VENDOR_WIDTH, "plant_code": PLANT_WIDTH,
               "material_id": MATERIAL_WIDTH, "ticket_id": TICKET_WIDTH}
-    return ovr.withColumns({c: pad_left_keep_left(c, w) for c, w in widths.items()})
+    return ovr.withColumns({c: left_padded(c, w) for c, w in widths.items()})

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotcraft import schemas as S
-from lotcraft.functions import attach_lookup, group_values, pad_left_keep_left
+from lotcraft.functions import attach_lookup, group_values, left_padded
 from lotcraft.functions.columns import MATERIAL_WIDTH, PLANT_WIDTH, VENDOR_WIDTH
 from lotcraft.operators import classify as K
 from lotcraft.operators import mpq as M
@@ -27,14 +27,14 @@ BLANKED = ["abc_mat_fam_name", "abc_mat_fam_new_msm", "supplier_storage_flag", "
 
 def _latest_input(entries: DataFrame) -> DataFrame:
     widths = {"vendor_id": VENDOR_WIDTH, "material_id": MATERIAL_WIDTH, "plant_code": PLANT_WIDTH}
-    padded = entries.withColumns({c: pad_left_keep_left(c, w) for c, w in widths.items()})
+    padded = entries.withColumns({c: left_padded(c, w) for c, w in widths.items()})
     return P.latest_by_max_join(padded, LINE_KEYS)
 
 
 def _padded_storage(storage: DataFrame) -> DataFrame:
     return storage.withColumns({
-        "vendor_id": pad_left_keep_left("vendor_id", VENDOR_WIDTH),
-        "material_id": pad_left_keep_left("material_id", MATERIAL_WIDTH),
+        "vendor_id": left_padded("vendor_id", VENDOR_WIDTH),
+        "material_id": left_padded("material_id", MATERIAL_WIDTH),
     })
 
 

@@ -97,3 +97,48 @@ def test_price_cases(frame):
         ("mix", 1, 1.0), ("mix", 1, 2.0), ("mix", 1, 3.0)], key=repr)
     rescaled = P.harmonise_price_lines(df, rescale=True).filter("material_id = 'two'")
     assert values(rescaled, "price_purch_rate") == [(0.03,), (0.1,)]
+
+
+def test_overrides_keep_wide_tickets_apart(frame):
+    """Two tickets of 8 digits that share 7, and one short: each meets its own override."""
+    tickets = ["12345671", "12345672", "42"]
+    padded = P.padded_overrides(frame(
+        "vendor_id string, plant_code string, material_id string, ticket_id string",
+        *((("9" * 11), "12345", "m", t) for t in tickets)))
+    assert values(padded) == sorted(
+        (("9" * 11), "12345", "m".rjust(18, "0"), t.rjust(7, "0")) for t in tickets)
+
+    def rows(columns, texts, *given):
+        names = [c for c in columns.split()]
+        schema = ", ".join(f"{c} {'string' if c in texts.split() else 'double'}" for c in names)
+        return frame(schema, *(tuple(g.get(c) for c in names) for g in given))
+
+    ids = [t.rjust(7, "0") for t in tickets]
+    keys = [{"material_id": f"m{i}".rjust(18, "0"), "plant_code": "p", "agreement_naturalkey": f"k{i}"} for i in range(3)]
+    texts = ("agreement_naturalkey source_system_code purchase_vendor_id vendor_id plant_code material_id "
+             "material_type source_list_flag ticket_id forecast_override_flag future_supplier_storage_flag "
+             "material_number material_desc site_code country_code")
+    agreements = rows(
+        "agreement_naturalkey source_system_code purchase_vendor_id plant_code material_id price_unit_factor "
+        "doc_curr_code net_price_rate price_purch_usd spend_pool_lkp_code spend_pool_group spend_pool_medium_name "
+        "spend_pool_low_name business_unit_lkp_code sector_business_unit business_unit source_list_flag", texts,
+        *({**k, "purchase_vendor_id": "0000000001", "source_list_flag": "Y"} for k in keys))
+    plan = rows("agreement_naturalkey material_id plant_code mm_minimum_lot_size", texts, *keys)
+    consumed = rows("plant_code material_id material_type total_requirement_qty", texts,
+                    *({**k, "material_type": "ROH", "total_requirement_qty": 1.0} for k in keys))
+    sync = rows("plant_code material_id batch_volume_uom usage_uom weight cov_usage inventory sync", texts, *keys)
+    given = rows(
+        "vendor_id material_id plant_code base_uom abc_mat_fam_name abc_mat_fam_new_msm restriction_min_prod_qty "
+        "restriction_max_prod_qty material_per_pallet_qty min_prod_qty ticket_id setup_cost_usd prod_rounding_value "
+        "material_shelf_life_months vendor_plant_change_freq supplier_input_repeats", texts,
+        *({**k, "vendor_id": "0000000001", "ticket_id": t} for k, t in zip(keys, ids, strict=True)))
+    overrides = rows("vendor_id material_id ticket_id qty_forecast_override", texts,
+                     *({"vendor_id": "1", "material_id": f"m{i}", "ticket_id": t, "qty_forecast_override": 10.0 + i}
+                       for i, t in enumerate(tickets)))
+    trigger = rows("vendor_id ticket_id forecast_override_flag future_supplier_storage_flag", texts,
+                   *({"vendor_id": "0000000001", "ticket_id": t, "forecast_override_flag": "yes"} for t in ids))
+    out = P.enrich_agreements(
+        agreements, plan, consumed, consumed, sync, given, overrides, trigger,
+        rows("material_number material_desc", texts), rows("site_code country_code", texts),
+        rows("country_code pg_nominal_wacc scrap_extra_charges", texts))
+    assert values(out, "ticket_id", "qty_forecast_n12") == sorted(zip(ids, (10.0, 11.0, 12.0), strict=True))
