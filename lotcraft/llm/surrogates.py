@@ -8,7 +8,13 @@ entity. An entity's surrogate is drawn by a hash of the key, its type and its no
 * digits, letters and their case and script stay in their places, separators are kept;
 * cards and the country digit of phones keep their first digit, cards their Luhn check, e-mail
   addresses their last label, IBANs their country, addresses are valid addresses;
-* given names follow the title's gender and the name's script, family names the script.
+* given names follow the title's gender and the name's script, family names the script; a name
+  in another script than Latin or Cyrillic has its letters drawn from its own script.
+
+A name is found after a title. The words of the names so found are then replaced in the rest of
+the same text as well, wherever they stand as capitalised words, each counted as a name; a
+word that is a given and a family name there counts as family name. A person without a title
+in the whole text, and a name in a script without capitals, are not found.
 
 No two entities of a type get the same surrogate, and none gets what is a real entity of the
 type in the corpus: clashes are looked up for the whole table, the smallest keeps its
@@ -53,9 +59,15 @@ FAMILY = {
 }
 
 _TITLE = "(?:" + "|".join(sorted(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES, key=len, reverse=True)) + r")\.?"
-_NAME = r"\p{Lu}[\p{L}'’]+"
+# A possessive 's is no part of the name.
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}]|['’](?=\p{L}{2}))+"
+_MENTION = rf"(?<![\p{{L}}\p{{M}}'’]){_NAME}|(?<=\p{{L}}['’]){_NAME}"
+# Letters of an address; scripts written without blanks would run into it.
+_ADDRESS = r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}]]"
+GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
 PATTERNS = {
-    "email": r"[A-Za-z0-9_](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_])?@[A-Za-z0-9](?:[A-Za-z0-9.-]{0,250}[A-Za-z0-9])?\.[A-Za-z]{2,24}",
+    "email": rf"(?:{_ADDRESS}|_)(?:(?:{_ADDRESS}|[._%+-]){{0,62}}(?:{_ADDRESS}|_))?@"
+             rf"{_ADDRESS}(?:(?:{_ADDRESS}|[.-]){{0,250}}{_ADDRESS})?\.(?:[A-Za-z]{{2,24}}|{_ADDRESS}{{2,24}})",
     "mac": r"(?<![\w:])(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}(?![\w:])",
     "secret": r"(?<!\w)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?!\w)"
               r"|(?<=[=:] {0,2}[\"'])[A-Za-z0-9_/+=-]{16,256}(?=[\"'])",
@@ -94,7 +106,8 @@ def _parts(match: Column, kind: Column) -> Column:
     """Parts of a match that have a surrogate of their own: (type, normal form, surface)."""
     title = F.regexp_extract(match, rf"\A({_TITLE}) ", 1)
     name = F.regexp_replace(match, rf"\A{_TITLE} ", "")
-    script = F.when(name.rlike(r"\A\p{IsCyrillic}"), "_cyrillic").otherwise("_latin")
+    script = F.when(name.rlike(r"\A\p{IsCyrillic}"), "_cyrillic").when(
+        name.rlike(r"\A\p{IsLatin}"), "_latin").otherwise("_other")
     bare = F.regexp_replace(title, r"\.$", "")
     gender = F.when(bare.isin(MALE_TITLES), "m").when(bare.isin(FEMALE_TITLES), "f").otherwise("n")
     words = F.split(name, " ")
@@ -126,12 +139,26 @@ def _letter(alphabet: str, number: Column) -> Column:
     return F.substring(F.lit(alphabet), (number % len(alphabet) + 1).cast("int"), F.lit(1))
 
 
+def _own_script(c: Column, number: Column) -> Column:
+    """Another letter of a letter's script: of Greek, or of the 64 code points around it."""
+    lower, code = r"\A\p{Ll}\z", F.ascii(c)
+    first = code - code % 64
+    around = F.transform(F.sequence(first, first + 63), lambda p: F.decode(
+        F.unhex(F.lpad(F.hex(p), 4, "0")), "UTF-16BE"))
+    letters = F.filter(around, lambda x: x.rlike(r"\A\p{L}\z") & (x.rlike(lower) == c.rlike(lower))
+                       & (F.length(F.upper(x)) == 1) & (F.lower(F.upper(x)) == x))
+    drawn = F.transform(F.array(letters), lambda x: F.when(
+        F.size(x) > 0, F.element_at(x, (number % F.greatest(F.size(x), F.lit(1)) + 1).cast("int"))).otherwise(c))[0]
+    return F.when(c.rlike(r"\p{IsGreek}"), _letter(GREEK, number)).when(code > 0xFFFF, c).otherwise(drawn)
+
+
 def _drawn_character(c: Column, number: Column, kind: Column) -> Column:
     hexadecimal = F.when(c.rlike("[0-9a-f]"), _letter("0123456789abcdef", number)).otherwise(
         _letter("0123456789ABCDEF", number))
     free = (F.when(c.rlike("[0-9]"), _letter("0123456789", number))
             .when(c.rlike("[a-z]"), _letter("abcdefghijklmnopqrstuvwxyz", number))
-            .when(c.rlike("[A-Z]"), _letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", number)).otherwise(c))
+            .when(c.rlike("[A-Z]"), _letter("ABCDEFGHIJKLMNOPQRSTUVWXYZ", number))
+            .when(c.rlike(r"\p{L}"), _own_script(c, number)).otherwise(c))
     return F.when((kind == "hex") & c.rlike("[0-9a-fA-F]"), hexadecimal).otherwise(free)
 
 
@@ -235,9 +262,32 @@ def replace_entities(docs: DataFrame, key: str, *, doc_id: str = "doc_id", text:
     whole = whole.select("match", "kind", F.concat(title, F.array_join(F.col("news.new"), " ")).alias("new"))
     by_row = places.join(whole, "match").groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("place", "kind", "new"))).alias("news"))
-    between = F.split("text", ANY, -1)
-    woven = F.zip_with(between, F.col("news.new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    replaced = private.join(by_row, "row").select(
-        "doc_id", F.size("matches").cast("long").alias("n_entities"), F.col("news.kind").alias("types"),
-        F.array_join(woven, "").alias("text"))
+    # The words of a text's names, as they are written in the text between the matches.
+    named = places.join(parts.where(F.col("kind") == "name").select("match", "type", "normal"), "match").groupBy(
+        "row", "normal").agg(F.min("type").alias("type"))
+    between = private.select("row", F.split("text", ANY, -1).alias("between"))
+    written = between.join(named.select("row").distinct(), "row", "left_semi").select(
+        "row", F.explode(F.array_distinct(F.flatten(F.transform(
+            "between", lambda t: F.regexp_extract_all(t, F.lit(_MENTION), F.lit(0)))))).alias("word"))
+    mentions = written.withColumn("normal", F.lower("word")).join(named, ["row", "normal"]).join(
+        known, ["type", "normal"]).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct(
+            "word", _as_surface(F.col("surrogate"), F.col("word"), F.col("type")).alias("new")))).alias("mentions"))
+
+    def rewritten(t: Column) -> Column:
+        news = F.transform(F.regexp_extract_all(t, F.lit(_MENTION), F.lit(0)), lambda w: F.struct(
+            w.alias("word"), F.try_element_at("mentions", w).alias("new")))
+        pieces = F.zip_with(F.split(t, _MENTION, -1), news, lambda gap, w: F.concat(
+            gap, F.coalesce(w["new"], w["word"], F.lit(""))))
+        return F.struct(F.array_join(pieces, "").alias("text"),
+                        F.size(F.filter(news, lambda w: w["new"].isNotNull())).alias("n"))
+
+    unchanged = F.transform("between", lambda t: F.struct(t.alias("text"), F.lit(0).alias("n")))
+    written_anew = F.when(F.col("mentions").isNull(), unchanged).otherwise(F.transform("between", rewritten))
+    joined = private.join(by_row, "row").join(mentions, "row", "left").withColumn(
+        "between", F.split("text", ANY, -1)).withColumn("between", written_anew)
+    woven = F.zip_with("between", "news", lambda a, b: F.concat(a["text"], F.coalesce(b["new"], F.lit(""))))
+    types = F.flatten(F.zip_with("between", "news", lambda a, b: F.concat(
+        F.array_repeat(F.lit("name"), a["n"]), F.filter(F.array(b["kind"]), lambda k: k.isNotNull()))))
+    replaced = joined.select("doc_id", types.alias("types"), F.array_join(woven, "").alias("text")).select(
+        "doc_id", F.size("types").cast("long").alias("n_entities"), "types", "text")
     return clean.unionByName(replaced)

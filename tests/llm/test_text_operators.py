@@ -363,6 +363,23 @@ def test_surrogates_keep_format_and_coreference(frame):
     assert re.search(r'"[0-9a-f]{40}" and Г-жа \w+ \w+', got[5].text) and "Петрова" not in got[5].text
 
 
+def test_surrogates_reach_untitled_mentions_and_other_scripts(frame):
+    rows = [(1, "Dr. Anna Weber came. Weber said, WEBER's car; then Anna Weber left. A weber and Webern stay."),
+            (2, "Weber and Anna have no title here."),
+            (3, "Dr Παπαδόπουλος wrote; Παπαδόπουλος left."),
+            (4, "Mail jörg@x.de and Jörg.Müller@bücher.de now, 联系我john@mail.com联系.")]
+    got = {r.doc_id: r for r in surrogates.replace_entities(frame("doc_id long, text string", *rows), "key").collect()}
+    one = re.fullmatch(r"Dr\. (\w+) (\w+) came\. (\w+) said, (\w+)'s car; then (\w+) (\w+) left\. A weber and Webern stay\.", got[1].text)
+    assert one and one[1] == one[5] != "Anna" and one[2] == one[3] == one[6] != "Weber" and one[4] == one[2].upper()
+    assert got[1].types == ["name"] * 5 and got[1].n_entities == 5
+    assert got[2].text == rows[1][1] and got[2].n_entities == 0
+    three = re.fullmatch(r"Dr ([\u0370-\u03ff]+) wrote; ([\u0370-\u03ff]+) left\.", got[3].text)
+    assert three and three[1] == three[2] != "Παπαδόπουλος" and three[1][0].isupper() and three[1][1:].islower()
+    four = re.fullmatch(r"Mail (\w{4}@\w)\.de and (\w{4}\.\w{6}@\w{6})\.de now, 联系我(\w{4}@\w{4})\.com联系\.", got[4].text)
+    assert four and four[1] != "jörg@x" and "ö" != four[1][1] != "o" and four[1].islower() and four[2][0].isupper()
+    assert four[3] != "john@mail" and got[4].n_entities == 3
+
+
 def test_surrogates_are_distinct(spark):
     parts = spark.range(800).selectExpr("'ssn' type", "lpad(cast(id as string), 3, '0') normal").union(
         spark.range(200).selectExpr("'given_m_latin' type", "concat('n', id) normal"))
