@@ -8,6 +8,9 @@ Every line with a word is judged on its own by four rules:
 * navigation: fewer than `min_separators` separators stand alone as words;
 * boilerplate: it holds none of `PHRASES`.
 
+A line of more than `SHORT_WORDS` words with the end of a sentence before its last word is prose:
+neither its last character nor a phrase in it removes it.
+
 Failing lines are removed. A document is kept if it passes the base rules (20 words; at most
 30 % of the words in repeated 8-word windows) and at least `min_kept_share` of its words are
 in lines that stay.
@@ -30,11 +33,13 @@ from pyspark.sql import functions as F
 from lotcraft.llm import words as W
 
 MIN_WORDS = 20
+SHORT_WORDS = 20
 REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 
 # Marks that may end a line, by their UTF-8 bytes.
 ENDINGS = [".", "!", "?", ",", ";", ":", "\"", "'", ")", "]", "…", "”", "’", "»", "。", "！", "？", "؟", "।"]
+SENTENCE_ENDS = [".", "!", "?", "…", "。", "！", "？", "؟", "।"]
 SEPARATORS = ["|", "»", "›", ">", "·", "•", "::", "/"]
 PHRASES = [
     "lorem ipsum", "enable javascript", "javascript is disabled", "accept cookies", "use of cookies",
@@ -56,10 +61,15 @@ def _flags(values: bytes | list[int]) -> np.ndarray:
 
 
 _SYMBOL = _flags(b"#*$%&|<>")
-_ENDINGS = {n: np.array(sorted({int.from_bytes(e.encode(), "big") for e in ENDINGS if len(e.encode()) == n}))
+
+
+def _marks(values: list[str]) -> dict[int, np.ndarray]:
+    """Codes of the marks by their number of bytes."""
+    return {n: np.array(sorted({int.from_bytes(v.encode(), "big") for v in values if len(v.encode()) == n}))
             for n in (1, 2, 3)}
-_SEPARATORS = {n: np.array(sorted({int.from_bytes(s.encode(), "big") for s in SEPARATORS if len(s.encode()) == n}))
-               for n in (1, 2, 3)}
+
+
+_ENDINGS, _SENTENCE_ENDS, _SEPARATORS = _marks(ENDINGS), _marks(SENTENCE_ENDS), _marks(SEPARATORS)
 _PHRASES = re.compile("|".join(map(re.escape, PHRASES)).encode())
 
 
@@ -124,14 +134,17 @@ def judged(data: np.ndarray, offsets: np.ndarray, max_symbol_share: float, max_s
         last_word = a + n - 1
         chars = points[l_end[full]] - points[l_start[full]]
         marks = symbols[l_end[full]] - symbols[l_start[full]]
-        good = _ends_with(data, end[last_word], _ENDINGS, end[last_word] - start[last_word])
+        closed = W.running(_ends_with(data, end, _SENTENCE_ENDS, end - start))
+        prose = np.zeros(l_start.size, bool)
+        prose[full] = (n > SHORT_WORDS) & (closed[last_word] > closed[a])
+        good = prose[full] | _ends_with(data, end[last_word], _ENDINGS, end[last_word] - start[last_word])
         good &= marks <= max_symbol_share * chars
         good &= (shout[a + n] - shout[a] <= max_shout_share * n) | (n < 3)
         good &= alone[a + n] - alone[a] < min_separators
         stays[full] = good
         for found in _PHRASES.finditer(W.lowered(data).tobytes()):
             line = np.searchsorted(l_start, found.start(), "right") - 1
-            stays[line] &= found.end() > l_end[line]
+            stays[line] &= prose[line] | (found.end() > l_end[line])
     kept_words = np.bincount(l_text, weights=l_words * stays, minlength=count).astype(np.int64)
 
     base_failed = (n_words < MIN_WORDS) | (100 * repeat_words > MAX_REPEAT_PERCENT * n_words)

@@ -74,6 +74,19 @@ def test_quality_lines_go_and_documents_with_them(frame):
     assert kept[1].n_chars == len(good)
 
 
+def test_quality_keeps_long_prose_lines(frame):
+    """One missing end mark, or one phrase, removes a short line but not a line of sentences."""
+    prose = "This line has several sentences in it. Each of them ends as it should, with a mark. " * 2
+    other = "A second paragraph speaks of something else, with its own words. Our privacy policy is one topic among many others here."
+    rows = [(1, prose.strip() + " word"), (2, other), (3, other + "\nHome page and contact\nAll rights reserved."),
+            (4, " ".join(f"item{i}" for i in range(40)))]
+    got = {r.doc_id: r for r in quality_lines.clean_lines(frame("doc_id long, text string", *rows)).collect()}
+    assert got[1].n_lines_removed == 0 and got[1].cleaned_text == rows[0][1]
+    assert got[2].kept and got[2].n_lines_removed == 0
+    assert got[3].kept and got[3].cleaned_text == other
+    assert not got[4].kept and got[4].n_lines_removed == 1
+
+
 def removed(rows, size):
     seen, out = set(), []
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
