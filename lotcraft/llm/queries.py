@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from lotcraft.llm import bloom_lm, centroid_langid, curriculum, quality_lines, simhash_tiles, string_tiling, suffix_index, surrogates, token_files, warc_derive
+from lotcraft.llm import (
+    bloom_lm, centroid_langid, curriculum, prefix_trie, quality_lines, simhash_tiles, string_tiling, suffix_index,
+    super_kmers, surrogates, token_align, token_files, warc_derive,
+)
 
 
 # A deployment passes its own secret.
@@ -59,9 +62,27 @@ def op10_warc_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_derive.build(_table(spark, sf_dir, "pages")).withColumnRenamed("source_id", "page_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_kmers.drop_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_lines, op2_suffix_index, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm, op7_centroid_langid, op8_string_tiling, op9_surrogates, op10_warc_derive)
+    f.__name__: f for f in (
+        op1_quality_lines, op2_suffix_index, op3_token_files, op4_simhash_tiles, op5_curriculum_mixture, op6_bloom_lm,
+        op7_centroid_langid, op8_string_tiling, op9_surrogates, op10_warc_derive, op11_prefix_trie, op12_super_kmers,
+        op13_token_align)
 }
 ORACLES: dict[str, str] = {
     "op5_curriculum_mixture": curriculum.MIXTURE_SQL.format(documents="documents"),
+    "op11_prefix_trie": prefix_trie.TRIE_SQL.format(conversations="conversations"),
+    "op12_super_kmers": super_kmers.WINDOWS_SQL.format(documents="documents"),
 }
