@@ -21,7 +21,6 @@ from lotcraft.functions.grouping import (
     running_share,
     unique_rows_only,
 )
-from lotcraft.functions.scan import running_totals
 
 __all__ = [
     "attach_group_values",
@@ -40,7 +39,6 @@ __all__ = [
     "parsed_number",
     "region_code",
     "running_share",
-    "running_totals",
     "settled_round",
     "strip_leading_zeros",
     "unique_rows_only",
