@@ -33,6 +33,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +45,10 @@ from lotcraft.llm import words as W
 from lotcraft.llm.token_files import _AS_CHARACTER, regular_texts
 from lotcraft.sources.staging import cut_lineage
 
-CHUNK_BYTES = 1 << 14
+CHUNK_BYTES = 1 << 15
 TOP_PAIRS = 1 << 17
 FAN = 16
-CACHE_WORDS = 150_000
+CACHE_WORDS = 200_000
 _CACHED_LENGTH = 48
 _SHIFT = 32
 
@@ -112,6 +113,9 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.a_size, self.b_size = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        self.comma, self.bar, self.end = (np.array([f"{i}{mark}" for i in range(most)], object) for mark in ",|;")
         with open(path_a, encoding="utf-8") as file:
             parts = json.load(file)
         before = parts.get("pre_tokenizer") or {}
@@ -123,46 +127,92 @@ class Aligner:
         self.records: list[tuple | None] = []
         self.fresh: list[str] = []
 
-    def units(self, text: str, regular: bool) -> list[str]:
-        """Parts of " " + text that are encoded by themselves."""
+    def units(self, spaced: str, regular: bool) -> list[str]:
+        """Parts of a text, with its space in front, that are encoded by themselves."""
         if not self.splits:
-            return [" " + text]
+            return [spaced]
         if regular:
-            return (" " + text.replace("\n", "\0\n").replace(" ", "\0 ")).split("\0")
-        return _PLACE.split(" " + text)
+            return (spaced[0] + spaced[1:].replace("\n", "\0\n").replace(" ", "\0 ")).split("\0")
+        return _PLACE.split(spaced)
 
     def encoded(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """(A ids, B ids) of every unit, None where they do not spell it."""
         spaced = [u[1:] if u[0] == " " else u for u in units]
-        out: list[tuple[list[int], list[int]] | None] = []
-        for unit, own, b in zip(units, self.a.encode_batch(units, add_special_tokens=False), self.b.encode(spaced, num_threads=1), strict=True):
-            a, content = own.ids, unit.encode()
-            if unit[0] != " ":
-                b = b[len(self.space):] if b[: len(self.space)] == self.space else []
-            whole = (b"".join([self.a_bytes[i] for i in a]) == content == b"".join([self.b_bytes[i] for i in b]))
-            out.append((a, b) if whole else None)
-        return out
-
-    def sizes(self, pair: tuple[list[int], list[int]]) -> tuple[list[int], list[int]]:
-        a, b = pair
-        return [len(self.a_bytes[i]) for i in a], [len(self.b_bytes[i]) for i in b]
+        skip = len(self.space)
+        a = [own.ids for own in self.a.encode_batch(units, add_special_tokens=False)]
+        b = [ids if u[0] == " " else ids[skip:] if ids[:skip] == self.space else []
+             for u, ids in zip(units, self.b.encode(spaced, num_threads=1), strict=True)]
+        if self._spells(units, a, self.a_bytes, self.a_size) and self._spells(units, b, self.b_bytes, self.b_size):
+            return list(zip(a, b, strict=True))
+        return [(x, y) if b"".join([self.a_bytes[i] for i in x]) == u.encode() == b"".join([self.b_bytes[i] for i in y]) else None
+                for u, x, y in zip(units, a, b, strict=True)]
+
+    def _spells(self, units: list[str], ids: list[list[int]], table: list[bytes], size: np.ndarray) -> bool:
+        """Whether all units are spelled by their tokens."""
+        flat = list(chain.from_iterable(ids))
+        if b"".join(map(table.__getitem__, flat)) != "".join(units).encode():
+            return False
+        ends = np.append(0, np.cumsum(size[np.array(flat, np.int64)]))[np.cumsum([len(x) for x in ids])]
+        return np.array_equal(ends, np.cumsum([len(u.encode()) for u in units]))
 
     def learn(self, units: set[str]) -> None:
-        """Records (n_a, n_b, n_groups, n_links, text, pairs, times) of new units."""
+        """Records (n_a, n_b, n_groups, n_links, text, pairs) of new units, None for those not spelled."""
         new = list(units)
-        for start in range(0, len(new), 4096):
-            some = new[start : start + 4096]
-            for unit, ids in zip(some, self.encoded(some), strict=True):
-                record = None
-                if ids is not None:
-                    a_size, b_size = self.sizes(ids)
-                    groups = groups_of(ids[0], a_size, ids[1], b_size)
-                    links = links_of(groups)
-                    record = (len(ids[0]), len(ids[1]), len(groups), sum(links.values()), spelled(groups), list(links), list(links.values()))
-                self.known[unit] = len(self.records)
-                self.records.append(record)
+        for start in range(0, len(new), 1 << 15):
+            self._learn(new[start : start + (1 << 15)])
         self.fresh += new
 
+    def _learn(self, units: list[str]) -> None:
+        """All units as one sequence of tokens: every unit's end is a cut."""
+        found = self.encoded(units)
+        for unit, ids in zip(units, found, strict=True):
+            if ids is None:
+                self.known[unit] = len(self.records)
+                self.records.append(None)
+        units = [u for u, ids in zip(units, found, strict=True) if ids is not None]
+        if not units:
+            return
+        lists = [[ids[k] for ids in found if ids is not None] for k in (0, 1)]
+        a, b = (np.array(list(chain.from_iterable(x)), np.int64) for x in lists)
+        a_units, b_units = (np.cumsum([len(ids) for ids in x]) for x in lists)
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        cuts = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+        n_a, n_b = np.bincount(a_group, minlength=cuts.size), np.bincount(b_group, minlength=cuts.size)
+        a_start, b_start = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        groups = a_group[a_units - 1] + 1  # groups up to the end of every unit
+
+        text = np.empty(a.size + b.size, object)
+        last = np.append(a_group[1:] != a_group[:-1], True)
+        text[np.arange(a.size) + b_start[a_group]] = np.where(last, self.bar[a], self.comma[a])
+        last = np.append(b_group[1:] != b_group[:-1], True)
+        text[np.arange(b.size) + (a_start + n_a)[b_group]] = np.where(last, self.end[b], self.comma[b])
+
+        n_links = n_a * n_b
+        group = np.repeat(np.arange(cuts.size), n_links)
+        inner = np.arange(group.size) - np.repeat(np.cumsum(n_links) - n_links, n_links)
+        pairs = a[a_start[group] + inner // n_b[group]] << _SHIFT | b[b_start[group] + inner % n_b[group]]
+        links = np.cumsum(n_links)[groups - 1]
+
+        shown = text.tolist()
+        bounds = zip(units, a_units.tolist(), b_units.tolist(), groups.tolist(), links.tolist(), strict=True)
+        a0 = b0 = g0 = l0 = 0
+        for unit, a1, b1, g1, l1 in bounds:
+            self.known[unit] = len(self.records)
+            self.records.append((a1 - a0, b1 - b0, g1 - g0, l1 - l0, "".join(shown[a0 + b0 : a1 + b1])[:-1], pairs[l0:l1]))
+            a0, b0, g0, l0 = a1, b1, g1, l1
+
+    def used(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray, list[tuple | None]]:
+        """(list of every unit, which record it has, the records), learning those not met before."""
+        known = self.known
+        self.learn({u for units in lists for u in units if u not in known})
+        owner = np.repeat(np.arange(len(lists)), [len(units) for units in lists])
+        numbers = np.array([known[u] for units in lists for u in units], np.int64)
+        numbers, place = np.unique(numbers, return_inverse=True)
+        records = [self.records[n] for n in numbers.tolist()]
+        self.forget()
+        return owner, place, records
+
     def forget(self) -> None:
         """Keep the words met first; drop long units and what is beyond the most that is kept."""
         for unit in self.fresh:
@@ -228,7 +278,8 @@ def fragment(number: int, a: list[int], a_end: list[int], b: list[int], b_end: l
 _PARTS = [("row", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
           ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("pairs", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
           ("pair", pa.int64()), ("n_docs", pa.int64()),
-          ("chunk", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("start", pa.int64()), ("segment", pa.string())]
+          ("chunk", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("start", pa.int64()), ("segment", pa.string()),
+          ("regular", pa.bool_())]
 _SQL = {pa.int64(): "long", pa.string(): "string", pa.list_(pa.int64()): "array<long>", pa.bool_(): "boolean"}
 
 
@@ -280,37 +331,39 @@ class Counts:
         return pairs, np.bincount(place, np.concatenate([n for _, n in self.parts]), pairs.size).astype(np.int64)
 
 
+def _linked(owner: np.ndarray, place: np.ndarray, records: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, pair, times) of the units' links, once an owner and pair, in that order."""
+    if not owner.size:
+        return (np.zeros(0, np.int64),) * 3
+    met, often = np.unique(owner * len(records) + place, return_counts=True)
+    width = np.array([r[5].size for r in records], np.int64)
+    names, code = np.unique(np.concatenate([r[5] for r in records]), return_inverse=True)
+    unit = met % len(records)
+    each = np.repeat(np.arange(met.size), width[unit])
+    inner = np.arange(each.size) - np.repeat(np.cumsum(width[unit]) - width[unit], width[unit])
+    source = (np.cumsum(width) - width)[unit][each] + inner
+    key, again = np.unique((met // len(records))[each] * names.size + code[source], return_inverse=True)
+    times = np.bincount(again, often[each], key.size).astype(np.int64)
+    return key // names.size, names[key % names.size], times
+
+
 def _aligned(own: Aligner, rows: list[int], ids: list[int | None], lists: list[list[str]], counts: Counts) -> pa.RecordBatch:
     """Results and links of the documents with the given units."""
-    fresh = {u for units in lists for u in units if u not in own.known}
-    own.learn(fresh)
-    records, known = own.records, own.known
     size = len(lists)
-    numbers = [[known[u] for u in units] for units in lists]
-    bad = [any(records[u] is None for u in set(n)) for n in numbers]
-    hashes = ["" if b or not n else hashlib.sha256(";".join([records[u][4] for u in n]).encode()).hexdigest()
-              for n, b in zip(numbers, bad, strict=True)]
-    numbers = [[] if b else n for n, b in zip(numbers, bad, strict=True)]
-    doc = np.repeat(np.arange(size), [len(n) for n in numbers])
-    used, place = np.unique(np.array([u for n in numbers for u in n], np.int64), return_inverse=True)
-    kept = [records[u] for u in used.tolist()]
-    sums = {name: np.bincount(doc, np.array([r[k] for r in kept], np.int64)[place], size).astype(np.int64) if doc.size else np.zeros(size, np.int64)
+    doc, place, records = own.used(lists)
+    missing = np.array([r is None for r in records], bool)
+    bad = np.zeros(size, bool)
+    bad[doc[missing[place]]] = True
+    kept = ~bad[doc]
+    doc, place = doc[kept], place[kept]
+    filled = [r or (0, 0, 0, 0, "", np.zeros(0, np.int64)) for r in records]
+    sums = {name: np.bincount(doc, np.array([r[k] for r in filled], np.int64)[place], size).astype(np.int64) if doc.size else np.zeros(size, np.int64)
             for k, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
-    pairs = owner = times = np.zeros(0, np.int64)
-    if doc.size:
-        met, often = np.unique(doc * used.size + place, return_counts=True)
-        width = np.array([len(r[5]) for r in kept], np.int64)
-        flat, flat_times = (np.array([x for r in kept for x in r[k]], np.int64) for k in (5, 6))
-        names, code = np.unique(flat, return_inverse=True)
-        unit = met % used.size
-        each = np.repeat(np.arange(met.size), width[unit])
-        inner = np.arange(each.size) - np.repeat(np.cumsum(width[unit]) - width[unit], width[unit])
-        source = (np.cumsum(width) - width)[unit][each] + inner
-        key, again = np.unique((met // used.size)[each] * names.size + code[source], return_inverse=True)
-        times = np.bincount(again, flat_times[source] * often[each], key.size).astype(np.int64)
-        owner, pairs = key // names.size, names[key % names.size]
-        counts.add(names, np.bincount(key % names.size, minlength=names.size))
-    own.forget()
+    texts, at, bounds = [r[4] for r in filled], place.tolist(), np.searchsorted(doc, np.arange(size + 1)).tolist()
+    hashes = [hashlib.sha256(";".join(map(texts.__getitem__, at[x:y])).encode()).hexdigest() if y > x else ""
+              for x, y in zip(bounds, bounds[1:], strict=False)]
+    owner, pairs, times = _linked(doc, place, filled)
+    counts.add(*np.unique(pairs, return_counts=True))
     return _batch(_PARTS, size, row=rows, doc_id=ids, **{k: pa.array(v) for k, v in sums.items()}, groups_sha256=hashes,
                   pairs=_lists(pairs, owner, size), times=_lists(times, owner, size))
 
@@ -328,7 +381,7 @@ def _first_pass(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int) ->
                 rows, ids = batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist()
                 texts = column.slice(a, b - a).to_pylist()
                 lengths = np.diff(offsets[a : b + 1]).tolist()
-                lists = [own.units(t, r) if t else [] for t, r in zip(texts, regular, strict=True)]
+                lists = [own.units(" " + t, r) if t else [] for t, r in zip(texts, regular, strict=True)]
                 short = [i for i, n in enumerate(lengths) if n < chunk_bytes]
                 yield _aligned(own, [rows[i] for i in short], [ids[i] for i in short], [lists[i] for i in short], counts)
                 for i in set(range(b - a)) - set(short):
@@ -337,7 +390,8 @@ def _first_pass(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int) ->
                         some = ranges[k : k + 64]
                         low, high, start, segment = zip(*some, strict=True)
                         yield _batch(_PARTS, len(some), row=[rows[i]] * len(some), doc_id=[ids[i]] * len(some),
-                                     chunk=list(range(k, k + len(some))), low=low, high=high, start=start, segment=segment)
+                                     chunk=list(range(k, k + len(some))), low=low, high=high, start=start, segment=segment,
+                                     regular=[regular[i]] * len(some))
         pairs, n_docs = counts.total()
         for k in range(0, pairs.size, 1 << 16):
             some = slice(k, k + (1 << 16))
@@ -367,6 +421,34 @@ def _as_batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in _PIECES], [n for n, _ in _PIECES])
 
 
+def _ends(own: Aligner, ids: tuple[list[int], list[int]], start: int) -> Iterator[tuple[list[int], np.ndarray]]:
+    for own_ids, size in zip(ids, (own.a_size, own.b_size), strict=True):
+        yield own_ids, np.cumsum(size[np.array(own_ids, np.int64)]) + start
+
+
+def _count(own: Aligner, ids: tuple[list[int], list[int]], start: int, low: int, high: int) -> list[int]:
+    """How many tokens of A and of B end in the range."""
+    return [int(((low < end) & (end <= high)).sum()) for _, end in _ends(own, ids, start)]
+
+
+def _cut(own: Aligner, chunk: int, ids: tuple[list[int], list[int]], start: int, low: int, high: int, begins: bool
+         ) -> tuple[Fragment, list[tuple[list[int], list[int]]]]:
+    """Fragment of the tokens of one unit that end in the range."""
+    inside: list[list[int]] = []
+    for own_ids, end in _ends(own, ids, start):
+        some = [(i, e) for i, e in zip(own_ids, end.tolist(), strict=True) if low < e <= high]
+        inside += [[i for i, _ in some], [e for _, e in some]]
+    return fragment(chunk, *inside, begins)
+
+
+def _joined(one: dict, other: dict) -> dict:
+    """Two neighbouring pieces of a text of groups; a pair may be listed by both."""
+    links = Counter(dict(zip(one["pairs"], one["times"], strict=True)))
+    links.update(dict(zip(other["pairs"], other["times"], strict=True)))
+    return one | {"body": ";".join([x for x in (one["body"], other["body"]) if x]), "pairs": list(links), "times": list(links.values()),
+                  **{n: one[n] + other[n] for n in ("n_a", "n_b", "n_groups", "n_links")}}
+
+
 def _fragments(ranges: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Every range's fragment and the piece of its closed groups."""
 
@@ -374,26 +456,33 @@ def _fragments(ranges: DataFrame, path_a: str, path_b: str) -> DataFrame:
         own = aligner(path_a, path_b)
         for batch in batches:
             for r in batch.to_pylist():
-                segment = r["segment"]
-                units = own.units(segment[1:], False) if segment[0] == " " else (
-                    _PLACE.split(segment) if own.splits else [segment])
-                found = own.encoded(units)
-                if any(f is None for f in found):
-                    empty = Fragment(((), ()), r["chunk"])
-                    yield _as_batch([_state(r["row"], r["doc_id"], r["chunk"], empty),
-                                     _piece(r["row"], r["doc_id"], 2 * r["chunk"] + 1, [], bad=True)])
+                units = own.units(r["segment"], r["regular"])
+                row, doc_id, chunk, low, high = (r[c] for c in ("row", "doc_id", "chunk", "low", "high"))
+                # Units that the range cuts, and its first one, which may close the group before, by their tokens;
+                # whole ones between them as they are known.
+                stop = len(units) - (r["start"] + len(r["segment"].encode()) > high)
+                _, place, records = own.used([units[1:stop]])
+                ends = [units[0], *units[max(stop, 1):]]
+                found = own.encoded(ends)
+                if any(f is None for f in [*found, *records]):
+                    yield _as_batch([_state(row, doc_id, chunk, Fragment(((), ()), chunk)),
+                                     _piece(row, doc_id, 2 * chunk + 1, [], bad=True)])
                     continue
-                inside = []
-                for k, table in ((0, own.a_bytes), (1, own.b_bytes)):
-                    ids = [i for f in found for i in f[k]]
-                    ends = (np.cumsum([len(table[i]) for i in ids]) + r["start"]).tolist()
-                    some = [(i, e) for i, e in zip(ids, ends, strict=True) if r["low"] < e <= r["high"]]
-                    inside += [[i for i, _ in some], [e for _, e in some]]
-                state, closed = fragment(r["chunk"], *inside, r["low"] == 0)
-                yield _as_batch([_state(r["row"], r["doc_id"], r["chunk"], state),
-                                 _piece(r["row"], r["doc_id"], 2 * r["chunk"] + 1, closed, len(inside[0]), len(inside[2]))])
-
-    dealt = ranges.select("row", "doc_id", "chunk", "low", "high", "start", "segment").repartition("row", "chunk")
+                state, closed = _cut(own, chunk, found[0], r["start"], low, high, low == 0)
+                piece = _piece(row, doc_id, 2 * chunk + 1, closed, *_count(own, found[0], r["start"], low, high))
+                if place.size:
+                    _, pairs, times = _linked(np.zeros(place.size, np.int64), place, records)
+                    middle = {"body": ";".join([records[i][4] for i in place.tolist()]), "pairs": pairs.tolist(), "times": times.tolist(),
+                              **{n: int(np.array([x[k] for x in records])[place].sum()) for k, n in enumerate(("n_a", "n_b", "n_groups", "n_links"))}}
+                    state, piece = state.then(Fragment(((), ()), chunk))[0], _joined(piece, middle)
+                if len(ends) > 1:
+                    start = r["start"] + len("".join(units[:stop]).encode())
+                    after, closed = _cut(own, chunk, found[1], start, low, high, True)
+                    state = state.then(after)[0]
+                    piece = _joined(piece, _piece(row, doc_id, 0, closed, *_count(own, found[1], start, low, high)))
+                yield _as_batch([_state(row, doc_id, chunk, state), piece])
+
+    dealt = ranges.select("row", "doc_id", "chunk", "low", "high", "start", "segment", "regular").repartition("row", "chunk")
     return dealt.mapInArrow(run, _ddl(_PIECES))
 
 
