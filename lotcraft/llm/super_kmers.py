@@ -39,7 +39,7 @@ from lotcraft.sources.staging import cut_lineage
 
 WINDOW = 50
 GRAM = 8
-MOST_STRINGS = 4096
+MOST_STRINGS = 512
 _LEAST = -(1 << 63)
 
 
