@@ -74,15 +74,16 @@ def source_targets(sized: DataFrame, weights: tuple = WEIGHTS, max_passes: int =
 
 
 def _streamed(rows: DataFrame, sized: DataFrame, weights: tuple, slopes: tuple, max_passes: int) -> DataFrame:
-    """`rows` with source_size, target, slope and the words of the source before each row."""
-    targets = source_targets(sized, weights, max_passes)
+    """`rows` with __source_size, __target, __slope and the words of the source before each row."""
+    targets = source_targets(sized, weights, max_passes).withColumnsRenamed(
+        {"source_size": "__source_size", "target": "__target"})
     ranges = sized.groupBy(*_KEYS).agg(F.sum("__size").alias("__range"))
     before = F.sum("__range").over(Window.partitionBy("__no_source", "__source").orderBy("__bucket")) - F.col("__range")
     ranges = ranges.withColumn("__start", before).join(targets, ["__no_source", "__source"])
     ranges = ranges.withColumn("__slope", _cycled(slopes, F.col("rank")))
     inside = Window.partitionBy(*_KEYS).orderBy("__order", "__size").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    joined = rows.join(ranges.select(*_KEYS, "__start", "__slope", "source_size", "target"), _KEYS)
+    joined = rows.join(ranges.select(*_KEYS, "__start", "__slope", "__source_size", "__target"), _KEYS)
     return joined.withColumn(
         "__offset", F.col("__start") + F.sum("__size").over(inside) - F.col("__size"))
 
@@ -94,7 +95,7 @@ def position(offset: Column, target: Column, slope: Column) -> Column:
 
 
 def _taken(pass_number: int) -> Column:
-    rest = F.floor("target") - pass_number * F.col("source_size") - F.col("__offset")
+    rest = F.floor("__target") - pass_number * F.col("__source_size") - F.col("__offset")
     return F.greatest(F.lit(0).cast("long"), F.least(F.col("__size"), rest))
 
 
@@ -108,8 +109,9 @@ def mixture(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "source",
         F.col(doc_id).cast("long").alias("doc_id"), "__size", "__order", *_KEYS), "sizes")
     streamed = _streamed(sized, sized, weights, slopes, max_passes)
     taken = sum((_taken(p) for p in range(1, max_passes)), _taken(0))
-    out = streamed.select("doc_id", F.col("__size").alias("size"), "source_size", "target", taken.alias("taken"),
-                          position(F.col("__offset"), F.col("target"), F.col("__slope")).alias("__position"))
+    out = streamed.select("doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
+                          F.col("__target").alias("target"), taken.alias("taken"),
+                          position(F.col("__offset"), F.col("__target"), F.col("__slope")).alias("__position"))
     out = out.withColumn("first_position", F.when(F.col("taken") > 0, F.col("__position"))).drop("__position")
     return out.orderBy("first_position", "doc_id")
 
@@ -126,7 +128,7 @@ def training_order(docs: DataFrame, *, doc_id: str = "doc_id", source: str = "so
     streamed = _streamed(keyed, sized, weights, slopes, max_passes)
     passes = F.array(*(F.struct(
         _taken(p).alias("words"),
-        position(F.col("__offset") + p * F.col("source_size"), F.col("target"), F.col("__slope")).alias("at"))
+        position(F.col("__offset") + p * F.col("__source_size"), F.col("__target"), F.col("__slope")).alias("at"))
         for p in range(max_passes)))
     used = F.filter(passes, lambda p: (p["words"] > 0) & (2 * p["words"] >= F.col("__size")))
     placed = streamed.select(*(F.col(c) for c in docs.columns), F.explode(used).alias("__pass"))

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotcraft.llm import bitmap
@@ -70,20 +70,21 @@ def fingerprints_of(texts: list[bytes], width: int = WIDTH, seed: int = SEED) ->
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  width: int = WIDTH, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): the fingerprint as the signed long of the same bits."""
+    """(doc_id, code, fp): hash of the text, and the fingerprint as the signed long of the same bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = W.text_arrays(batch.column(1))
+            data, offsets = W.text_arrays(batch.column(2))
             for a, b in W.chunks(data, offsets):
                 whole = data[offsets[a] : offsets[b]].tobytes()
                 cut = (offsets[a : b + 1] - offsets[a]).tolist()
                 fps = fingerprints_of([whole[p:q] for p, q in zip(cut, cut[1:], strict=False)], width, seed)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+                    [*(c.slice(a, b - a) for c in batch.columns[:2]), pa.array(fps.view(np.int64))], ["doc_id", "code", "fp"])
 
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    content = F.col(text).cast("string")
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(content).alias("code"), content.alias("text"))
+    return source.mapInArrow(run, "doc_id long, code long, fp long")
 
 
 def _parts(fp) -> list:
@@ -171,17 +172,22 @@ def links(fps: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> D
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _components_of(marked: DataFrame, own: Column, radius: int, tile_rows: int) -> DataFrame:
+    """(class, component): every fingerprint with the smallest `own` that links reach."""
+    classes = cut_lineage(marked.groupBy("fp").agg(F.min(own).alias("least")), "classes")
+    roots = components(links(classes.select("fp"), radius, tile_rows))
+    grouped = classes.join(roots, classes.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
+    least = grouped.groupBy("root").agg(F.min("least").alias("component"))
+    return grouped.select("fp", "root").join(least, "root").select(F.col("fp").alias("class"), "component")
+
+
 def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH,
                 seed: int = SEED, radius: int = RADIUS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per row: the smallest id that links reach."""
-    marked = cut_lineage(fingerprints(docs, doc_id, text, width, seed), "fingerprints")
-    classes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes.select("fp"), radius, tile_rows))
-    grouped = classes.join(roots, classes.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = grouped.select("fp", "root").join(least, "root").select(F.col("fp").alias("class"), "component_id")
+    marked = cut_lineage(fingerprints(docs, doc_id, text, width, seed).drop("code"), "fingerprints")
+    of_class = _components_of(marked, F.col("doc_id"), radius, tile_rows)
     return marked.join(of_class, F.col("fp") == F.col("class")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def _marked_in(spark: SparkSession, ids: DataFrame, bitmap_bytes: int):
@@ -195,30 +201,34 @@ def _marked_in(spark: SparkSession, ids: DataFrame, bitmap_bytes: int):
     return lambda own: own.isNotNull() & marked(F.xxhash64(own))
 
 
-def one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                  bitmap_bytes: int = BITMAP_BYTES, **settings) -> DataFrame:
-    """The rows of each group's smallest id, once: repeated rows of that id keep the least text.
+def one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, seed: int = SEED,
+                  radius: int = RADIUS, tile_rows: int = TILE_ROWS, bitmap_bytes: int = BITMAP_BYTES) -> DataFrame:
+    """One row of each group: the one with the smallest id, nulls last, then with the smallest hash of its text.
 
-    The ids to take out are marked in a bitmap of a fixed size. Rows whose id is not marked stay
-    where they are; ids that share a mark by chance are found by an exact join of ids alone, and
-    only their rows are joined. Rows without an id cannot be told apart by it and always stay.
+    A row is told apart by a 64-bit hash of its id and text. The hashes to take out are marked in a
+    bitmap of a fixed size. Rows that are not marked stay where they are; hashes that share a mark by
+    chance are found by an exact join of hashes alone, and only their rows are joined. Of rows equal
+    in id and text, the least by the other columns stays.
     """
-    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    groups = cut_lineage(near_groups(ids, **settings), "groups")
-    others = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    own = F.col(doc_id).cast("long")
+    own = F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(F.col(text).cast("string")))
+    rows = cut_lineage(fingerprints(docs, doc_id, text, width, seed), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "code")
+    groups = rows.join(_components_of(rows, order, radius, tile_rows), F.col("fp") == F.col("class")).select(
+        F.xxhash64("doc_id", "code").alias("__id"), F.xxhash64("component.doc_id", "component.code").alias("__first"))
+    groups = cut_lineage(groups, "groups")
+    others = groups.where("__id <> __first").select("__id").distinct()
     marked = _marked_in(docs.sparkSession, others, bitmap_bytes)
-    by_chance = groups.select(F.col("doc_id").alias("__id")).where(marked(F.col("__id"))).distinct()
+    by_chance = groups.select("__id").where(marked(F.col("__id"))).distinct()
     spared = cut_lineage(by_chance.join(others, "__id", "left_anti"), "spared")
     own_id = own == F.col("__id")
     kept = docs.where(~marked(own))
     if not spared.isEmpty():
         kept = kept.unionByName(docs.where(marked(own)).join(spared, own_id, "left_semi"))
-    twice = cut_lineage(groups.where("doc_id = component_id").groupBy("doc_id").agg(
-        F.count("*").alias("__rows")).where("__rows > 1").select(F.col("doc_id").alias("__id")), "twice")
+    twice = cut_lineage(groups.where("__id = __first").groupBy("__id").agg(
+        F.count("*").alias("__rows")).where("__rows > 1").select("__id"), "twice")
     if twice.isEmpty():
         return kept
-    again = kept.join(twice, own_id, "left_semi").groupBy(own).agg(
-        F.min(F.struct(F.col(text), *(F.col(c) for c in docs.columns if c != text))).alias("r"))
+    again = kept.join(twice, own_id, "left_semi").groupBy(F.col(doc_id).cast("long"), F.col(text)).agg(
+        F.min(F.struct(*(F.col(c) for c in docs.columns))).alias("r"))
     return kept.join(twice, own_id, "left_anti").unionByName(
         again.select(*(F.col(f"r.{c}") for c in docs.columns)))

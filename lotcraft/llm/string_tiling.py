@@ -134,10 +134,15 @@ def _seeds(items: DataFrame, least: int) -> DataFrame:
         run, "item long, item_id long, text string, n_words long, size int, seeds array<long>").where("size > 0")
 
 
-def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-          item_id: str = "item_id", item_text: str = "text", least: int = LEAST,
-          coverage: float = COVERAGE, bitmap_bytes: int = BITMAP_BYTES) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """(doc_id, item_id, item_words, covered_words, coverage, n_tiles, longest_tile) of the leaks."""
+    return _leaks(docs, items, **settings).drop("code")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+           item_id: str = "item_id", item_text: str = "text", least: int = LEAST,
+           coverage: float = COVERAGE, bitmap_bytes: int = BITMAP_BYTES) -> DataFrame:
+    """The leaks, with a hash of the document's text."""
     spark = docs.sparkSession
     known = cut_lineage(_seeds(items.select(
         F.monotonically_increasing_id().alias("item"), F.col(item_id).cast("long").alias("item_id"),
@@ -169,12 +174,12 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: st
                 part = batch.slice(a, b - a).take(pa.array(used))
                 lists = pa.ListArray.from_arrays(pa.array([*first.tolist(), every.size], pa.int32()),
                                                  pa.array(seed.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], ["row", "doc_id", "text", "seeds"])
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], ["row", "doc_id", "text", "code", "seeds"])
 
     source = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
-                         F.col(text).cast("string").alias("text"))
+                         F.col(text).cast("string").alias("text"), F.xxhash64(F.col(text).cast("string")).alias("code"))
     passed = cut_lineage(source.mapInArrow(
-        passing, "row long, doc_id long, text string, seeds array<long>"), "passed")
+        passing, "row long, doc_id long, text string, code long, seeds array<long>"), "passed")
     # Tiles of `least` words hold at least one seed for every `least` covered words; items
     # that repeat a seed have fewer different ones and need one only.
     needed = F.when(F.col("n_seeds") == F.col("n_words") - (least - 1),
@@ -182,9 +187,9 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: st
     pairs = passed.select("row", F.explode("seeds").alias("seed")).join(
         seeds.select("item", "seed", needed.alias("needed")), "seed").groupBy("row", "item").agg(
         F.count("*").alias("common"), F.first("needed").alias("needed")).where("common >= needed")
-    both = pairs.select("row", "item").join(passed.select("row", "doc_id", "text"), "row").join(
+    both = pairs.select("row", "item").join(passed.select("row", "doc_id", "text", "code"), "row").join(
         known.select("item", "item_id", F.col("text").alias("item_text")), "item").select(
-        "doc_id", "item_id", "text", "item_text")
+        "doc_id", "item_id", "text", "item_text", "code")
 
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,12 +203,12 @@ def leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: st
             if rows:
                 columns = [pa.array(c) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), *columns],
-                    ["doc_id", "item_id", "item_words", "covered_words", "coverage", "n_tiles", "longest_tile"])
+                    [batch.column(0), batch.column(1), *columns, batch.column(4)],
+                    ["doc_id", "item_id", "item_words", "covered_words", "coverage", "n_tiles", "longest_tile", "code"])
 
     return both.mapInArrow(
         tiled, "doc_id long, item_id long, item_words long, covered_words long, coverage double, n_tiles long, "
-               "longest_tile long").where(F.col("coverage") >= coverage)
+               "longest_tile long, code long").where(F.col("coverage") >= coverage)
 
 
 def _per_row(column: pa.Array) -> list[np.ndarray]:
@@ -215,8 +220,10 @@ def _per_row(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", **settings) -> DataFrame:
-    """The rows of documents without a leak; rows with the same id stay or go together."""
-    leaky = cut_lineage(leaks(docs, items, doc_id=doc_id, **settings).select(
-        F.col("doc_id").alias("__leaky")).distinct(), "leaky")
-    return docs.join(leaky, F.col(doc_id).cast("long").eqNullSafe(F.col("__leaky")), "left_anti")
+def without_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The rows without a leak; a row is told by its id, null or not, and a 64-bit hash of its text."""
+    leaky = cut_lineage(_leaks(docs, items, doc_id=doc_id, text=text, **settings).select(
+        F.col("doc_id").alias("__leaky"), F.col("code").alias("__code")).distinct(), "leaky")
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__leaky")) & (
+        F.xxhash64(F.col(text).cast("string")) == F.col("__code"))
+    return docs.join(leaky, same, "left_anti")

@@ -102,6 +102,11 @@ def _type_of(match: Column) -> Column:
     return out
 
 
+def _lowered(text: Column) -> Column:
+    """Lower case of the same length: the dotted capital I alone would become two characters."""
+    return F.lower(F.translate(text, "İ", "I"))
+
+
 def _parts(match: Column, kind: Column) -> Column:
     """Parts of a match that have a surrogate of their own: (type, normal form, surface)."""
     title = F.regexp_extract(match, rf"\A({_TITLE}) ", 1)
@@ -115,12 +120,12 @@ def _parts(match: Column, kind: Column) -> Column:
     def part(type_: Column, surface: Column, normal: Column) -> Column:
         return F.struct(type_.alias("type"), normal.alias("normal"), surface.alias("surface"))
 
-    family = part(F.concat(F.lit("family"), script), F.element_at(words, -1), F.lower(F.element_at(words, -1)))
-    given = part(F.concat(F.lit("given_"), gender, script), words[0], F.lower(words[0]))
+    family = part(F.concat(F.lit("family"), script), F.element_at(words, -1), _lowered(F.element_at(words, -1)))
+    given = part(F.concat(F.lit("given_"), gender, script), words[0], _lowered(words[0]))
     names = F.when(F.size(words) > 1, F.array(given, family)).otherwise(F.array(family))
-    normal = F.when(kind.isin("secret", "ip"), match).otherwise(F.lower(match))
+    normal = F.when(kind.isin("secret", "ip"), match).otherwise(_lowered(match))
     for type_, dropped in _DROPPED.items():
-        normal = F.when(kind == type_, F.regexp_replace(match if type_ != "mac" else F.lower(match), dropped, "")
+        normal = F.when(kind == type_, F.regexp_replace(match if type_ != "mac" else _lowered(match), dropped, "")
                         ).otherwise(normal)
     return F.when(kind == "name", names).otherwise(F.array(part(kind, match, normal)))
 
@@ -144,12 +149,12 @@ def _own_script(c: Column, number: Column) -> Column:
     lower, code = r"\A\p{Ll}\z", F.ascii(c)
     first = code - code % 64
     around = F.transform(F.sequence(first, first + 63), lambda p: F.decode(
-        F.unhex(F.lpad(F.hex(p), 4, "0")), "UTF-16BE"))
+        F.unhex(F.lpad(F.hex(p), 8, "0")), "UTF-32"))
     letters = F.filter(around, lambda x: x.rlike(r"\A\p{L}\z") & (x.rlike(lower) == c.rlike(lower))
                        & (F.length(F.upper(x)) == 1) & (F.lower(F.upper(x)) == x))
     drawn = F.transform(F.array(letters), lambda x: F.when(
         F.size(x) > 0, F.element_at(x, (number % F.greatest(F.size(x), F.lit(1)) + 1).cast("int"))).otherwise(c))[0]
-    return F.when(c.rlike(r"\p{IsGreek}"), _letter(GREEK, number)).when(code > 0xFFFF, c).otherwise(drawn)
+    return F.when(c.rlike(r"\p{IsGreek}"), _letter(GREEK, number)).otherwise(drawn)
 
 
 def _drawn_character(c: Column, number: Column, kind: Column) -> Column:
@@ -219,7 +224,10 @@ def surrogates(parts: DataFrame, key: str, max_draws: int = MAX_DRAWS) -> DataFr
         waiting = cut_lineage(waiting.join(won, ["type", "normal"], "left_anti"), "waiting")
         if waiting.isEmpty():
             return accepted
-    raise ValueError(f"some entities had no free surrogate after {max_draws} draws")
+    # A small space may be full, or a letter may have no other of its kind: a prefix makes room.
+    prefix = F.substring(F.sha2(F.concat_ws("|", F.lit(key), "type", "normal", F.lit("room")), 256), 1, 32)
+    return accepted.unionByName(waiting.select("type", "normal", F.concat(
+        prefix, F.lit("-"), _drawn(F.col("type"), F.col("normal"), key, max_draws)).alias("surrogate")))
 
 
 def _as_surface(surrogate: Column, surface: Column, kind: Column) -> Column:
@@ -236,7 +244,8 @@ def _as_surface(surrogate: Column, surface: Column, kind: Column) -> Column:
     named = F.when((F.upper(surface) == surface) & (F.length(surface) > 1), F.upper(surrogate)).otherwise(
         F.array_join(F.transform(F.split(surrogate, "-"), lambda w: F.initcap(w)), "-"))
     is_name = kind.startswith("given_") | kind.startswith("family_")
-    return F.when(is_name, named).when(kind.isin("secret", "ip"), surrogate).otherwise(walked)
+    longer = F.length(surrogate) > F.length(surface)  # drawn from a larger space than the notation has
+    return F.when(is_name, named).when(kind.isin("secret", "ip") | longer, surrogate).otherwise(walked)
 
 
 def replace_entities(docs: DataFrame, key: str, *, doc_id: str = "doc_id", text: str = "text",
@@ -269,7 +278,7 @@ def replace_entities(docs: DataFrame, key: str, *, doc_id: str = "doc_id", text:
     written = between.join(named.select("row").distinct(), "row", "left_semi").select(
         "row", F.explode(F.array_distinct(F.flatten(F.transform(
             "between", lambda t: F.regexp_extract_all(t, F.lit(_MENTION), F.lit(0)))))).alias("word"))
-    mentions = written.withColumn("normal", F.lower("word")).join(named, ["row", "normal"]).join(
+    mentions = written.withColumn("normal", _lowered(F.col("word"))).join(named, ["row", "normal"]).join(
         known, ["type", "normal"]).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct(
             "word", _as_surface(F.col("surrogate"), F.col("word"), F.col("type")).alias("new")))).alias("mentions"))
 

@@ -12,7 +12,8 @@ A control byte holds the byte lengths (1 to 4) of four ranks, two bits each, low
 data bytes are little-endian. A reader looks the four lengths up in a table of 256 rows.
 `ranks.bin` holds the id of every rank as u32. Shards sort by name.
 
-Null and empty texts consist of the end id. Rows with the same id follow each other by their
+Null and empty texts consist of the end id. A special token's string in a text is its one id, as
+the library encodes it by default. Rows with the same id follow each other by their
 encoded ids, repeated rows included. Other columns are not read. An empty table gives no
 shard and an empty result. A task that is run again writes the same bytes under the same name.
 """
@@ -90,12 +91,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             parts = json.load(file)
+        # An added token's string stands for its id wherever it is written.
+        self.added = [t["content"] for t in parts.get("added_tokens") or ()]
         before = parts.get("pre_tokenizer") or {}
         self.by_word = (
             before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
@@ -138,7 +140,7 @@ class Encoder:
         fresh: set[str] = set()
         known = self.known
         for text, plain in zip(texts, regular.tolist(), strict=True):
-            if not plain or not self.by_word:
+            if not plain or not self.by_word or any(t in text for t in self.added):
                 parts.append(None)
                 continue
             # \r marks the text's first word and \n a line's first: neither follows a space.

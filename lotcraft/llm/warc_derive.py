@@ -52,7 +52,7 @@ RAW = frozenset(("script", "style", "noscript", "template", "textarea", "svg"))
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^<>]*+>"
     r"|(/?)([a-zA-Z][^\s/<>]*+)([^<>\"']*+(?:(?:\"[^\"<]*+\"|'[^'<]*+')[^<>\"']*+)*+)>)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTRIBUTE = re.compile(r"(?<![^\s=/\"'>])([^\s=/\"'>]++)\s*+=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _BLANKS = re.compile(r"[^\S\n]+")
 
 

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
 from lotcraft.llm import (
     bloom_lm, centroid_langid, components, curriculum, quality_lines, simhash_tiles, string_tiling, suffix_index,
@@ -207,9 +208,9 @@ def test_positions_invert_the_schedule(spark):
 
 def test_tokens_round_trip(docs, table):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    own = token_files.Encoder(path).tokenizer
+    own = Tokenizer.from_file(path)
     odd = docs.sparkSession.createDataFrame(
-        [(i, t) for i, t in enumerate(["a  b\n\n c ", "\n", " lead", "x\ty", "tail\n", "a \n b", "it's <|endoftext|>", "日本 x",
+        [(i, t) for i, t in enumerate(["a  b\n\n c ", "\n", " lead", "x\ty", "tail\n", "a \n b", "it's <|endoftext|>", "it's <|endoftext|> here", "日本 x",
                                        "a b", "a b", "a\u0085b", "don't I'll\n'll 's"])], "doc_id long, text string")
     for frame in (docs, table, odd):
         expected = []
@@ -432,3 +433,42 @@ def test_empty_tables(spark, docs):
                 string_tiling.without_leaks(none, items), surrogates.replace_entities(none, "k"),
                 token_files.round_trip(none, path), warc_derive.build(pages)):
         assert got.count() == 0
+
+
+def test_stages_tell_rows_by_id_and_text(frame):
+    leak = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, leak), (1, "a clean text under the same id"), (None, leak), (None, "a clean text without an id")]
+    docs, items = frame("doc_id long, text string", *rows), frame("item_id long, text string", (1, leak))
+    kept = string_tiling.without_leaks(docs, items)
+    assert sorted(r.text for r in kept.collect()) == [rows[1][1], rows[3][1]]
+    same = frame("doc_id long, text string, n long", (None, leak, 1), (None, leak, 2), (3, leak, 3), (None, "other words", 4), (None, "other words", 5))
+    assert sorted(tuple(r) for r in simhash_tiles.one_per_group(same).select("text", "doc_id", "n").collect()) == [
+        ("other words", None, 4), (leak, 3, 3)]
+
+
+def test_mixture_stage_keeps_columns_of_its_own_names(frame):
+    docs = frame("doc_id long, source string, text string, target string, source_size int, rank int",
+                 (1, "a", "one two three", "x", 7, 1), (2, "b", "four five", "y", 8, 2))
+    got = curriculum.training_order(docs)
+    assert got.columns == docs.columns and {r.target for r in got.collect()} <= {"x", "y"}
+    assert curriculum.mixture(docs).count() == 2
+
+
+def test_surrogates_of_rare_letters_and_full_spaces(frame):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    full = [f"{a}@{b}.co" for a in letters for b in letters]
+    rows = [(1, "Dr \U0001d409\U0001d428\U0001d421\U0001d427 came."), (2, " ".join(full)), (3, "\u0130nfo@example.com wrote")]
+    got = {r.doc_id: r for r in surrogates.replace_entities(frame("doc_id long, text string", *rows), "k", max_draws=2).collect()}
+    assert got[1].n_entities == 1 and got[1].text != rows[0][1]
+    new = got[2].text.split(" ")
+    assert len(set(new)) == len(full) and not set(new) & set(full) and all(x.endswith(".co") for x in new)
+    assert re.fullmatch(r"\S+@[a-z]{7}\.com wrote", got[3].text) and "example" not in got[3].text
+
+
+def test_long_tags_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    warc_derive.parsed("<a " + "x" * 400_000 + ">text")
+    assert time.perf_counter() - began < 2
+    assert warc_derive._attributes(" href='x' b = \"c d\" e=f/g h") == {"href": "x", "b": "c d", "e": "f/g"}
