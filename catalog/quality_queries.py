@@ -110,6 +110,36 @@ def _(f):
     return new.withColumn("modified_date", F.col("modified_date").cast("string"))
 
 
+LOADED = ["purchase_vendor_id", "material_id", "plant_code", "mm_minimum_lot_size", "modified_date"]
+FIRST_LOAD, SECOND_LOAD = dt.date(1998, 8, 1), dt.date(1998, 11, 1)
+EVERYTHING = 40_000  # days; the second load looks back over what the first one took
+
+
+# A first load of one region, a second of all; each runs twice, as after a failure.
+@query("append_increment", f"""
+    WITH first AS (
+        SELECT DISTINCT {', '.join(LOADED)} FROM {{plan}}
+        WHERE plant_region_override = 'GC' AND modified_date >= DATE '{FIRST_LOAD}' - INTERVAL 200 DAY),
+    second AS (SELECT DISTINCT {', '.join(LOADED)} FROM {{plan}} EXCEPT SELECT * FROM first)
+    SELECT * REPLACE (CAST(modified_date AS STRING) AS modified_date), FALSE AS is_processed, '{FIRST_LOAD}' AS load_date
+    FROM first
+    UNION ALL
+    SELECT * REPLACE (CAST(modified_date AS STRING) AS modified_date), FALSE AS is_processed, '{SECOND_LOAD}' AS load_date
+    FROM second""")
+def _(f):
+    from lotcraft.plans.increment import append_increment, loaded
+    from lotcraft.sources.staging import new_folder
+
+    path, rows = new_folder(f.spark, "increments"), f.plan.select(*LOADED)
+    region = f.plan.filter("plant_region_override = 'GC'").select(*LOADED)
+    for source, day, days in ((region, FIRST_LOAD, 200), (rows, SECOND_LOAD, EVERYTHING)):
+        for _ in range(2):
+            append_increment(source, path, day, days)
+    append_increment(rows, path, SECOND_LOAD + dt.timedelta(days=1), EVERYTHING)  # nothing is left to add
+    return loaded(f.spark, path, rows.schema).withColumns(
+        {c: F.col(c).cast("string") for c in ("modified_date", "load_date")})
+
+
 @query("append_new_events", """
     SELECT DISTINCT event_type, user_id, FALSE AS is_processed
     FROM (SELECT event_type, user_id, CAST(ts AS DATE) AS day FROM events

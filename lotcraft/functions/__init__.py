@@ -18,7 +18,6 @@ from lotcraft.functions.grouping import (
     group_values,
     latest_in_group,
     one_row_per_group,
-    running_share,
     unique_rows_only,
 )
 
@@ -38,7 +37,6 @@ __all__ = [
     "pad_left_keep_right",
     "parsed_number",
     "region_code",
-    "running_share",
     "settled_round",
     "strip_leading_zeros",
     "unique_rows_only",

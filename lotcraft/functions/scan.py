@@ -42,3 +42,21 @@ def running_totals(
         here, before = F.col(f"_local_{name}"), F.col(f"_before_{name}")
         sums[name] = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(before + here)
     return joined.select(*df.columns, *[value.alias(name) for name, value in sums.items()])
+
+
+def running_share(
+    df: DataFrame,
+    group: Sequence[str],
+    item: Sequence[str],
+    share: str,
+    out: str,
+    places: int = 2,
+) -> DataFrame:
+    """Running sum of a share within each group, rounded; largest first, ties by item, missing ones last.
+
+    Shares of any sign count, and a group may hold any part of the rows: they are read once, dealt
+    by ranges, and no task orders a whole group. A group without any share gets null.
+    """
+    order = [F.desc_nulls_last(share), *[F.asc(i) for i in item]]
+    summed = running_totals(df, group, order, {"_running": F.col(share).cast("double")})
+    return summed.withColumn(out, F.round("_running", places)).drop("_running")

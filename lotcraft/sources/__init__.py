@@ -1,6 +1,6 @@
 from lotcraft.sources.readers import load_csv_dir, read_merged_parquet, read_pipe_csv
 from lotcraft.sources.staging import cut_lineage, shared_folder
-from lotcraft.sources.writers import export_csv_chunks, publish, write_payload, write_snapshot
+from lotcraft.sources.writers import export_csv_chunks, publish, replace_partitions, write_payload, write_snapshot
 
 __all__ = [
     "cut_lineage",
@@ -9,6 +9,7 @@ __all__ = [
     "publish",
     "read_merged_parquet",
     "read_pipe_csv",
+    "replace_partitions",
     "shared_folder",
     "write_payload",
     "write_snapshot",

@@ -32,6 +32,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder made by `new_folder` that nothing reads any more."""
     if not path.startswith(shared_folder(spark) + "/"):

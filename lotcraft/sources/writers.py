@@ -20,6 +20,16 @@ def publish(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Write the partitions that `df` has rows of, and leave all others of the table as they are.
+
+    A partition appears whole or stays what it was: repeating a write that failed, or that was
+    already done, gives the same table.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+
+
 def export_csv_chunks(df: DataFrame, path: str, rows: int = CSV_ROWS) -> None:
     """CSV files with a header and at most `rows` rows each."""
     (
