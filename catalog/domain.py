@@ -189,7 +189,7 @@ DOMAIN = {
                CASE WHEN l_linenumber = 2 THEN NULL ELSE l_quantity + 5 END AS mm_minimum_lot_size,
                p_size AS material_per_pallet_qty, 5 + p_size % 3 * 5 AS prod_rounding_value,
                CASE WHEN l_linenumber = 7 THEN NULL ELSE 100 + p_size END AS setup_cost_usd,
-               0.08 AS pg_nominal_wacc, 0.1 AS scrap_extra_charges,
+               0.08 AS nominal_wacc, 0.1 AS scrap_extra_charges,
                p_size AS material_shelf_life_months, 90 AS pipo_horizon_days,
                60 + p_size AS vendor_plant_change_freq,
                CASE WHEN p_size % 6 = 0 THEN 'No' ELSE 'Yes' END
@@ -235,7 +235,7 @@ DOMAIN = {
                     WHEN 'AFRICA' THEN 'IMEA REGION' ELSE r_name END AS area
         FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "finance": """
-        SELECT n_name AS country_code, n_nationkey / 100.0 AS pg_nominal_wacc,
+        SELECT n_name AS country_code, n_nationkey / 100.0 AS nominal_wacc,
                n_regionkey / 10.0 AS scrap_extra_charges
         FROM {nation}""",
     "material": f"""

@@ -137,7 +137,7 @@ COSTS = f"""
         SELECT *, greatest(0, annual_fcst_cons_current
                    * greatest(cover - material_shelf_life_months, cover - pipo_horizon_days,
                               cover - vendor_plant_change_freq) / 365 * price) AS risk,
-               CAST(pg_nominal_wacc AS DOUBLE) * order_quantity * price / 2 AS capital,
+               CAST(nominal_wacc AS DOUBLE) * order_quantity * price / 2 AS capital,
                annual_fcst_cons_current * setup_cost_usd / nullif(allocated, 0)
                    / CASE WHEN {OWN} THEN 1 ELSE material_count END AS setup
         FROM measured),
@@ -164,7 +164,7 @@ def _(f):
     measures = {
         "mpq": "mpq_iteration", "allocated": "mpq_sc_alloc_uom", "cover": "mpq_sc_alloc_dfc",
         "order_quantity": "moq_sc_uom", "risk": "ide_risk_sc_usd", "scrap": "log_scrap_sc_usd",
-        "capital": "total_wacc_pg_sc_usd",
+        "capital": "total_wacc_sc_usd",
     }
     return _rows(f).groupBy("ticket_id", "iteration", "abc_segment").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -200,7 +200,7 @@ DECIDED = f"""
            {R('sum(decisive)', 1)} AS decisive
     FROM lowest GROUP BY ticket_id, abc_mat_fam_new_msm, least""")
 def _(f):
-    rows = M.family_cost_minimum(_rows(f))
+    rows = M.family_cost_minimum(M.prepare_scenarios(f.line, f.line_flag))
     least, decisive = "min_supply_chain_cost_accross_fam_iterations", "supply_chain_cost_fam_level"
     near = F.when(F.col(decisive) <= F.col(least) + 0.00001, 1).otherwise(0)
     return rows.groupBy("ticket_id", "abc_mat_fam_new_msm").agg(

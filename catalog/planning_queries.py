@@ -161,7 +161,7 @@ def _used(name: str, day: str) -> str:
 
 ENRICHED = ["source_system_code", "purchase_vendor_id", "plant_code", "material_id",
             "material_desc", "ticket_id", "qty_forecast_n12", "mm_minimum_lot_size_dfc",
-            "min_prod_qty_dfc", "avg_batch_consumption_qty", "pg_nominal_wacc",
+            "min_prod_qty_dfc", "avg_batch_consumption_qty", "nominal_wacc",
             "scrap_extra_charges", "future_flag_supplier_inv_storage", "setup_cost_usd"]
 
 
@@ -179,7 +179,7 @@ ENRICHED = ["source_system_code", "purchase_vendor_id", "plant_code", "material_
            {R('p.mm_minimum_lot_size / (n13.qty / 91.0)', 2)} AS mm_minimum_lot_size_dfc,
            {R('i.min_prod_qty / (n13.qty / 91.0)', 2)} AS min_prod_qty_dfc,
            s.batch_volume_uom AS avg_batch_consumption_qty,
-           CAST(fin.pg_nominal_wacc AS DOUBLE) AS pg_nominal_wacc,
+           CAST(fin.nominal_wacc AS DOUBLE) AS nominal_wacc,
            CAST(fin.scrap_extra_charges AS DOUBLE) AS scrap_extra_charges,
            tg.future_supplier_storage_flag AS future_flag_supplier_inv_storage, i.setup_cost_usd
     FROM {{agreement}} a JOIN {{plan}} p ON a.agreement_naturalkey = p.agreement_naturalkey
@@ -204,7 +204,7 @@ def _(f):
         f.ticket.filter("commercial_transparency_flag <> 'yes'"), f.material_padded, f.plant,
         f.finance,
     )
-    as_double = {c: F.col(c).cast("double") for c in ("pg_nominal_wacc", "scrap_extra_charges")}
+    as_double = {c: F.col(c).cast("double") for c in ("nominal_wacc", "scrap_extra_charges")}
     return df.withColumns(as_double).select(*ENRICHED)
 
 

@@ -280,7 +280,7 @@ def enrich_agreements(
     return (
         resolved.join(plant.select(F.col("site_code").alias("plant_code"), "country_code"),
                       "plant_code", "left")
-        .join(fin.select("country_code", "pg_nominal_wacc", "scrap_extra_charges"),
+        .join(fin.select("country_code", "nominal_wacc", "scrap_extra_charges"),
               "country_code", "left")
         .drop("agreement_naturalkey", "total_requirement_qty", "qty_forecast_override",
               "forecast_override_flag", "country_code")

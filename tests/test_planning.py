@@ -140,5 +140,5 @@ def test_overrides_keep_wide_tickets_apart(frame):
     out = P.enrich_agreements(
         agreements, plan, consumed, consumed, sync, given, overrides, trigger,
         rows("material_number material_desc", texts), rows("site_code country_code", texts),
-        rows("country_code pg_nominal_wacc scrap_extra_charges", texts))
+        rows("country_code nominal_wacc scrap_extra_charges", texts))
     assert values(out, "ticket_id", "qty_forecast_n12") == sorted(zip(ids, (10.0, 11.0, 12.0), strict=True))
