@@ -97,9 +97,9 @@ def test_no_window_over_raw_groups():
         for folder, name in _modules()
         if re.search(r"Window\.partitionBy", open(os.path.join(folder, name)).read())
     ]
-    # The running share of rows above one rounding step, and the order inside a spot of the
-    # digest and inside a bucket of the payload, both as many as the rows need.
-    assert sorted(using) == ["functions/grouping.py", "operators/payload.py", "operators/quality.py"]
+    # Running totals within a range of the rows and over one row a range, and the order inside a
+    # spot of the digest and inside a bucket of the payload, both as many as the rows need.
+    assert sorted(using) == ["functions/scan.py", "operators/payload.py", "operators/quality.py"]
 
 
 def test_no_row_reaches_the_driver_or_python():
@@ -112,10 +112,11 @@ def test_no_row_reaches_the_driver_or_python():
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
 def test_scan_reads_only_what_the_query_needs(spark):
-    plan = _plan(driver.queries()["abc_by_brand"](spark, SF_DIR))
+    plan = _plan(driver.queries()["spend_and_share"](spark, SF_DIR))
     read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
-    assert {"l_partkey:bigint,l_extendedprice:double",
-            "p_partkey:bigint,p_brand:string,p_type:string"} == set(read)
+    # Ticket, price factor and forecast of the line; family and price of the part.
+    assert {"l_partkey:bigint,l_suppkey:bigint,l_quantity:double,l_tax:double",
+            "p_partkey:bigint,p_brand:string,p_size:int,p_retailprice:double"} == set(read)
 
 
 def test_date_bound_reaches_the_scan(spark, frame, tmp_path):
