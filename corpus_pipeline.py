@@ -42,7 +42,7 @@ STAGES = [
     ("token-ID / binary output", tokens),
 ]
 
-# Fingerprints, tiles and tokens are beyond SQL; tests/llm compares the stages with plain Python.
+# Fingerprints, tiles and tokens are beyond SQL; tests/llm tests the stages one by one.
 ORACLE_SQL = None
 
 
