@@ -15,6 +15,10 @@ Failing lines are removed. A document is kept if it passes the base rules (20 wo
 30 % of the words in repeated 8-word windows) and at least `min_kept_share` of its words are
 in lines that stay.
 
+Fingerprints find the lines and windows that may be repeated; their bytes decide. A line is
+compared whole, however long it is, and of equal lines the first is no repeat. A very long text is
+judged alone in its task, which holds it and some numbers for each of its bytes.
+
 Null and empty texts have no words and fail the base rules. Repeated rows are judged one by
 one, each alike. Other columns of the input are not read. An empty table gives an empty table.
 The work is one pass without a shuffle.
@@ -85,6 +89,29 @@ def _ends_with(data: np.ndarray, end: np.ndarray, marks: dict[int, np.ndarray],
     return out
 
 
+def _numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Numbers of the spans: equal for equal bytes in the same text, and only for them."""
+    seen: dict[tuple[int, bytes], int] = {}
+    found = [seen.setdefault((i, data[a:b].tobytes()), len(seen))
+             for a, b, i in zip(start.tolist(), end.tolist(), text.tolist(), strict=True)]
+    return np.array(found, np.int64)
+
+
+def _equal_windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, text: np.ndarray,
+                   first: np.ndarray) -> np.ndarray:
+    """Those of the windows that begin at the words `first` whose words another one repeats."""
+    inside = np.zeros(start.size, bool)
+    for k in range(REPEAT_WINDOW):
+        inside[first + k] = True
+    words = np.flatnonzero(inside)
+    number = np.zeros(start.size, np.int64)
+    number[words] = _numbered(data, start[words], end[words], text[words])
+    rank = np.zeros(first.size, np.int64)
+    for k in range(REPEAT_WINDOW):
+        rank = np.unique(rank * (words.size + 1) + number[first + k], return_inverse=True)[1]
+    return first[np.bincount(rank)[rank] > 1] if first.size else first
+
+
 def judged(data: np.ndarray, offsets: np.ndarray, max_symbol_share: float, max_shout_share: float,
            min_separators: int, min_kept_share: float) -> tuple[dict[str, np.ndarray], tuple]:
     """Counts and verdicts per text, and (start, end, text, stays) of every line."""
@@ -109,7 +136,7 @@ def judged(data: np.ndarray, offsets: np.ndarray, max_symbol_share: float, max_s
         own = text[: start.size - last]
         window = W.mixed(window + W.mixed(own.astype(np.uint64)))
         whole = np.flatnonzero(own == text[last:])
-        twice = whole[W.repeats(window[whole])]
+        twice = _equal_windows(data, start, end, text, whole[W.repeats(window[whole])])
         cover = np.zeros(start.size + 1, np.int64)
         np.add.at(cover, twice, 1)
         np.add.at(cover, twice + REPEAT_WINDOW, -1)
@@ -120,11 +147,11 @@ def judged(data: np.ndarray, offsets: np.ndarray, max_symbol_share: float, max_s
     l_words = np.searchsorted(start, l_end) - words_before
     full = l_words > 0
     key = W.mixed(spans.of(l_start, l_end) + W.mixed(l_text.astype(np.uint64)))[full]
-    l_own = l_text[full]
-    order = np.argsort(key, kind="stable")
-    again = np.zeros(key.size, bool)
-    again[order[1:]] = key[order[1:]] == key[order[:-1]]
-    dup_lines = np.bincount(l_own[again], minlength=count)
+    alike = np.flatnonzero(full)[W.repeats(key)]
+    value = _numbered(data, l_start[alike], l_end[alike], l_text[alike])
+    again = np.ones(alike.size, bool)
+    again[np.unique(value, return_index=True)[1]] = False
+    dup_lines = np.bincount(l_text[alike[again]], minlength=count)
 
     stays = np.ones(l_start.size, bool)
     if start.size:

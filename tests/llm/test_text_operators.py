@@ -66,6 +66,18 @@ def test_quality_counts(docs, table):
         assert found == expected
 
 
+def test_quality_tells_lines_and_words_that_hash_alike(frame):
+    # Sums of powers modulo 2**64 cannot tell this string from its complement, whatever the base.
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rest = " c d e f g h i"
+    texts = [f"{a}\n{b}", f"{a}\n{b}\n{a}\n{b}\n{a}", f"{a}{rest}\n{b}{rest}", f"{a}{rest}\n{b}{rest}\n{a}{rest}"]
+    rows = frame("doc_id long, text string", *enumerate(texts))
+    found = sorted((r.doc_id, tuple(r)[1:7]) for r in quality_lines.clean_lines(rows).collect())
+    assert found == [(i, base(t)) for i, t in enumerate(texts)]
+    assert [r[1][3] for r in found] == [0, 3, 0, 1]
+
+
 def test_quality_lines_go_and_documents_with_them(frame):
     good = "This is a line of quite ordinary words that ends as a sentence should end, with a mark at last here."
     rows = [(1, f"{good}\nHome | About | News | Contact\nAnother line that ends well.", 0), (2, "Home | About | News\n" * 30, 0),
@@ -337,6 +349,19 @@ def tiles_by_brute_force(item, text, least):
         total += n
 
 
+def test_languages_in_passes_equal_one_pass(frame):
+    """Many languages, a few at a time: the same rows, and a rare language is still predicted."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i * 10 + k, " ".join(letters[(i + j) % 26] * 3 for j in (k % 3, 1, 2)) * 4, f"l{i:02}")
+            for i in range(23) for k in range(4 if i else 1)]
+    table = frame("doc_id long, text string, lang string", *rows)
+    model = centroid_langid.fit(table)
+    whole = centroid_langid.identify(table, model).collect()
+    model.languages_at_once = 4
+    assert sorted(centroid_langid.identify(table, model).collect()) == sorted(whole)
+    assert {r.lang_pred for r in whole} == {r[2] for r in rows}
+
+
 def test_tiling_equals_brute_force():
     draw = np.random.default_rng(7)
     for _ in range(60):
