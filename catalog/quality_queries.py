@@ -63,26 +63,29 @@ def _(f):
     return V.latest_exchange_rate(f.rate, since=19960101)
 
 
+# A currency's factor to USD is settled first, so that every movement is one product.
 @query("movement_fact", f"""
-    WITH {MOVED}, {RATES}
-    SELECT DISTINCT right('000000000000000000' || a.material_id, 18) AS material_id,
-           right('0000' || a.plant_code, 4) AS plant_code,
-           coalesce(b.business_unit, '') AS business_unit,
-           {R('a.local_amount_currency', 2)} AS local_amount_currency, a.currency_code,
-           a.move_type_code,
-           {R('''CASE WHEN a.currency_code = 'USD' THEN a.local_amount_currency
-                 ELSE a.local_amount_currency * (e.exchange_rate / nullif(e.ratio_from, 0)) END''',
-              2)} AS usd_amount,
-           d.purchase_vendor_id, CAST(a.date AS STRING) AS date, a.qty, c.price_std_per_unit_usd,
-           b.business_unit_lkp_code,
-           CAST(year(a.date + INTERVAL 6 MONTH) AS INT) AS fiscal_year_num
-    FROM moved a
-    LEFT JOIN {{agreement}} b ON a.material_id = b.material_id AND a.plant_code = b.plant_code
-    LEFT JOIN {{price_material}} c ON a.material_id = c.material_id
-      AND a.plant_code = c.plant_code AND a.currency_code = c.purch_doc_curr_code
-    LEFT JOIN {{lead_vendor}} d ON a.material_id = d.material_id AND a.plant_code = d.plant_code
-    LEFT JOIN rates e ON a.currency_code = e.currency_from AND e.currency_to = 'USD'
-    WHERE d.itm_rank = 1""")
+    WITH {MOVED}, {RATES},
+    factors AS (
+        SELECT currency_from AS currency_code, exchange_rate / nullif(ratio_from, 0) AS to_usd
+        FROM rates WHERE currency_from <> 'USD'
+        UNION ALL SELECT 'USD', 1.0),
+    main_vendor AS (SELECT material_id, plant_code, purchase_vendor_id FROM {{lead_vendor}} WHERE itm_rank = 1)
+    SELECT DISTINCT right(repeat('0', 18) || material_id, 18) AS material_id,
+           right('0000' || plant_code, 4) AS plant_code,
+           coalesce(business_unit, '') AS business_unit,
+           {R('local_amount_currency', 2)} AS local_amount_currency, moved.currency_code,
+           move_type_code, {R('local_amount_currency * to_usd', 2)} AS usd_amount,
+           purchase_vendor_id, CAST(moved.date AS STRING) AS date, moved.qty,
+           price_std_per_unit_usd, business_unit_lkp_code,
+           CAST(year(moved.date + INTERVAL 6 MONTH) AS INT) AS fiscal_year_num
+    FROM moved JOIN main_vendor USING (material_id, plant_code)
+    LEFT JOIN (SELECT material_id, plant_code, business_unit, business_unit_lkp_code
+               FROM {{agreement}}) USING (material_id, plant_code)
+    LEFT JOIN (SELECT material_id, plant_code, purch_doc_curr_code AS currency_code,
+                      price_std_per_unit_usd FROM {{price_material}}) AS priced
+      USING (material_id, plant_code, currency_code)
+    LEFT JOIN factors ON factors.currency_code = moved.currency_code""")
 def _(f):
     fact = V.movement_fact(
         V.movement_totals(f.movement, since=SINCE), f.agreement, f.price_material, f.lead_vendor,
