@@ -199,9 +199,8 @@ ENRICHED = ["source_system_code", "purchase_vendor_id", "plant_code", "material_
 def _(f):
     keys = ["material_id", "plant_code", "material_type"]
     df = P.enrich_agreements(
-        f.agreement, f.plan, P.consumption_within_days(f.consumption, keys, 91, AS_OF),
-        P.consumption_within_days(f.consumption, keys, 365, AS_OF), f.sync, f.input, f.override,
-        f.ticket.filter("commercial_transparency_flag <> 'yes'"), f.material_padded, f.plant,
+        f.agreement, f.plan, P.consumption_by_horizon(f.consumption, keys, AS_OF), f.sync, f.input,
+        f.override, f.ticket.filter("commercial_transparency_flag <> 'yes'"), f.material_padded, f.plant,
         f.finance,
     )
     as_double = {c: F.col(c).cast("double") for c in ("nominal_wacc", "scrap_extra_charges")}

@@ -19,6 +19,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TURNS = 1 << 16  # copies of a row made at once
+
 
 def group_values(df: DataFrame, keys: Sequence[str], *values: Column) -> DataFrame:
     """One row per key with the aggregates."""
@@ -63,16 +65,39 @@ def one_row_per_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return picked.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Each row `times` over, without the count; a row's list of turns is bounded."""
+    last = F.col(times) - 1
+    turns = F.sequence(F.lit(0).cast("bigint"), F.expr(f"({times} - 1) div {TURNS}"))
+    within = F.sequence(F.lit(0).cast("bigint"),
+                        F.least(last - F.col("_turn") * TURNS, F.lit(TURNS - 1).cast("bigint")))
+    return (
+        df.filter(F.col(times) > 0)
+        .withColumn("_turn", F.explode(turns))
+        .withColumn("_turn", F.explode(within))
+        .drop("_turn", times)
+    )
+
+
 def unique_rows_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs once; every row of a repeated key goes. Null keys stay whole."""
+    """Rows whose key occurs once; every row of a repeated key goes. Null keys stay whole.
+
+    One grouping reads the input once. The key of an incomplete row is extended by the whole
+    row, so that such rows are spread by what they hold, counted, and repeated afterwards.
+    """
     others = [c for c in df.columns if c not in keys]
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
     packed = F.struct(*others) if others else F.struct(F.lit(1).alias("_one"))
-    single = (
-        df.filter(complete)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min(packed).alias("_row"))
-        .filter(F.col("_rows") == 1)
-        .select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    counted = (
+        df.withColumns({"_whole": F.when(~complete, packed), "_row": F.when(complete, packed)})
+        .groupBy(*keys, "_whole")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.any_value("_row").alias("_row"))
+        .filter((F.col("_rows") == 1) | F.col("_whole").isNotNull())
+    )
+    row = F.coalesce("_whole", "_row")
+    return repeat_rows(
+        counted.withColumn("_row", row).select(
+            *[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns], "_rows"
+        ),
+        "_rows",
     )
-    return single.unionByName(df.filter(~complete))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -32,6 +32,7 @@ PRICE_KEYS = ["purchase_vendor_id", "plant_code", "material_id"]
 # months ahead, factor that scales the horizon to a year
 HORIZONS = ((12, 1), (6, 2), (3, 4))
 QUARTER_DAYS = 91
+DAY_HORIZONS = {"n13": QUARTER_DAYS, "n12m": 365}
 
 PRICE_MEASURES = (
     "price_purch_rate",
@@ -48,6 +49,10 @@ def _year_month(day: dt.date, months: int = 0) -> str:
     return f"{day.year + years:04d}{month + 1:02d}"
 
 
+def _day_after(day: dt.date, days: int) -> str:
+    return (day + dt.timedelta(days=days)).strftime("%Y%m%d")
+
+
 def consumption_within_days(
     cons: DataFrame,
     keys: Sequence[str],
@@ -59,14 +64,36 @@ def consumption_within_days(
 
     The bound is a literal, so it reaches the parquet scan.
     """
-    last = (as_of + dt.timedelta(days=days)).strftime("%Y%m%d")
     return (
-        cons.filter(F.col(REQUIREMENT_DATE) <= last)
+        cons.filter(F.col(REQUIREMENT_DATE) <= _day_after(as_of, days))
         .groupBy(*keys)
         .agg(F.sum(REQUIREMENT_QTY).alias(out))
     )
 
 
+def consumption_by_horizon(
+    cons: DataFrame,
+    keys: Sequence[str],
+    as_of: dt.date,
+    horizons: Mapping[str, int] = DAY_HORIZONS,
+) -> DataFrame:
+    """Requirement per key within each named number of days, from one pass over the data.
+
+    `rows_<name>` counts the rows behind `qty_<name>`: a key without any has no requirement,
+    which a sum of nulls alone would not tell.
+    """
+    values = []
+    for name, days in horizons.items():
+        within = F.col(REQUIREMENT_DATE) <= _day_after(as_of, days)
+        values += [F.count(F.when(within, F.lit(1))).alias(f"rows_{name}"),
+                   F.sum(F.when(within, F.col(REQUIREMENT_QTY))).alias(f"qty_{name}")]
+    return (
+        cons.filter(F.col(REQUIREMENT_DATE) <= _day_after(as_of, max(horizons.values())))
+        .groupBy(*keys)
+        .agg(*values)
+    )
+
+
 def consumption_month_horizons(
     cons: DataFrame,
     as_of: dt.date,
@@ -186,12 +213,34 @@ def drop_duplicated_tickets(df: DataFrame, repeats: str = "supplier_input_repeat
     return df.filter(F.col(repeats).isNull() | (F.col(repeats) == 1))
 
 
+def _needs_per_agreement(plan: DataFrame, needs: DataFrame) -> DataFrame:
+    """The sums of both horizons per agreement, as one short list each.
+
+    A list has an entry per place and material type with consumption in that horizon. Equal
+    plan rows are counted first and multiply the sums, as joining each of them would.
+    """
+    place = ["material_id", "plant_code"]
+
+    def entries(name: str) -> Column:
+        found = F.col(f"rows_{name}") > 0
+        return F.collect_list(F.when(found, F.struct(F.col(f"qty_{name}").alias("qty"))))
+
+    per_place = needs.groupBy(*place).agg(*[entries(n).alias(f"_{n}") for n in DAY_HORIZONS])
+    counted = plan.filter(F.col("agreement_naturalkey").isNotNull()).groupBy(
+        "agreement_naturalkey", *place).agg(F.count(F.lit(1)).alias("_rows"))
+
+    def multiplied(name: str) -> Column:
+        return F.flatten(F.collect_list(F.transform(
+            f"_{name}", lambda e: F.struct((e["qty"] * F.col("_rows")).alias("qty")))))
+
+    return counted.join(per_place, place).groupBy("agreement_naturalkey").agg(
+        *[multiplied(n).alias(f"_{n}") for n in DAY_HORIZONS])
+
 
 def enrich_agreements(
     agr: DataFrame,
     plan: DataFrame,
-    cons91: DataFrame,
-    cons12m: DataFrame,
+    needs: DataFrame,
     sync: DataFrame,
     inp: DataFrame,
     ovr: DataFrame,
@@ -202,10 +251,10 @@ def enrich_agreements(
 ) -> DataFrame:
     """Agreement lines on the source list with plan, forecast, input, ticket and rates.
 
-    `cons91` and `cons12m` hold one sum per plant, material and material type, so the
-    consumption table is reduced before it meets any other. Both sides of every join are
-    plain tables: adaptive execution broadcasts the small ones by their measured size and
-    splits skewed partitions of the large ones.
+    `needs` is `consumption_by_horizon` per material, plant and material type, so the
+    consumption table is read once and reduced before it meets any other. Both sides of every
+    join are plain tables: adaptive execution broadcasts the small ones by their measured size
+    and splits skewed partitions of the large ones.
     """
     agreements = agr.filter(F.col("source_list_flag") == "Y").select(
         "agreement_naturalkey", "source_system_code", "purchase_vendor_id", "plant_code",
@@ -217,22 +266,13 @@ def enrich_agreements(
         plan.select("agreement_naturalkey", "mm_minimum_lot_size"), "agreement_naturalkey"
     )
 
-    plan_keys = plan.select("agreement_naturalkey", "material_id", "plant_code")
-    per_day = (
-        plan_keys.join(cons91, ["material_id", "plant_code"])
-        .groupBy("agreement_naturalkey", "material_id", "material_type", "plant_code")
-        .agg(F.sum("total_requirement_qty").alias("_n13"))
-        .select("agreement_naturalkey", daily_consumption("_n13").alias("qty_consumption_per_day"))
-    )
-    yearly = (
-        plan_keys.join(cons12m, ["material_id", "plant_code"])
-        .groupBy("agreement_naturalkey", "material_id", "plant_code", "material_type")
-        .agg(F.sum("total_requirement_qty").alias("total_requirement_qty"))
-        .select("agreement_naturalkey", "total_requirement_qty")
-    )
     measured = (
-        lots.join(per_day, "agreement_naturalkey", "left")
-        .join(yearly, "agreement_naturalkey", "left")
+        lots.join(_needs_per_agreement(plan, needs), "agreement_naturalkey", "left")
+        .withColumn("_n13", F.explode_outer("_n13"))
+        .withColumn("_n12m", F.explode_outer("_n12m"))
+        .withColumn("qty_consumption_per_day", daily_consumption("_n13.qty"))
+        .withColumn("total_requirement_qty", F.col("_n12m.qty"))
+        .drop("_n13", "_n12m")
         .withColumn(
             "mm_minimum_lot_size_dfc", cover_days("mm_minimum_lot_size", "qty_consumption_per_day")
         )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotcraft.functions import id_number, left_padded
 from lotcraft.functions.columns import MATERIAL_WIDTH, VENDOR_WIDTH
+from lotcraft.sources.staging import cut_lineage
 
 PAGE_ROWS = 100
 PUBLISHED = "Published"
@@ -137,13 +138,14 @@ def digest_by_recipient(
 ) -> DataFrame:
     """All rows per recipient and owner on pages of at most `page_rows` different rows.
 
-    Equal rows are counted before the shuffle and shown once, with their `copies`. A row's hash
+    Equal rows are counted before the shuffle and shown once, with their `copies`. The counted
+    rows are written, so that totals and pages read them and not the input again. A row's hash
     chooses one of as many spots as full pages would need; what a spot holds beyond one page
     goes to further ones, so no task orders more than the few rows of a spot. Every page has
     the recipient's `rows_total`, copies included.
     """
     by, cols = list(by), list(cols)
-    counted = df.groupBy(*by, *cols).agg(F.count(F.lit(1)).alias("copies"))
+    counted = cut_lineage(df.groupBy(*by, *cols).agg(F.count(F.lit(1)).alias("copies")), "digest")
     totals = counted.groupBy(*by).agg(
         F.sum("copies").alias("rows_total"),
         F.ceil(F.count(F.lit(1)) / page_rows).alias("_spots"),

@@ -41,25 +41,22 @@ def _padded_storage(storage: DataFrame) -> DataFrame:
 def price_lines(tables: Mapping[str, DataFrame], as_of: dt.date, side: str = "pi") -> DataFrame:
     """One priced line per agreement grain: enriched, with initiatives, prices averaged.
 
-    The reduced consumption and the latest input are written once, as several joins use
-    them; from there on every join has two tables of known size.
+    Consumption is read once for both horizons. A table is written where several steps read
+    it, and nowhere else: joins of single readers go by the sizes adaptive execution measures.
     """
-    keys = ["material_id", "plant_code", "material_type"]
-    consumption = tables["consumption"]
-    quarter = cut_lineage(
-        P.consumption_within_days(consumption, keys, P.QUARTER_DAYS, as_of), "quarter")
-    year = cut_lineage(P.consumption_within_days(consumption, keys, 365, as_of), "year")
+    needs = P.consumption_by_horizon(
+        tables["consumption"], ["material_id", "plant_code", "material_type"], as_of)
     open_tickets = tables["trigger"].filter(F.col("commercial_transparency_flag") != "yes")
     enriched = P.enrich_agreements(
-        tables["agreement"], tables["plan"], quarter, year, tables["sync"],
-        cut_lineage(_latest_input(tables["input"]), "input"), tables["override"], open_tickets,
+        tables["agreement"], tables["plan"], needs, tables["sync"],
+        _latest_input(tables["input"]), tables["override"], open_tickets,
         tables["material"], tables["plant"], tables["finance"],
     )
-    storage = cut_lineage(P.storage_unit_per_key(_padded_storage(tables["storage"])), "storage")
+    storage = P.storage_unit_per_key(_padded_storage(tables["storage"]))
     stored = cut_lineage(P.override_pallet_qty(enriched, storage), "enriched")
     ranked = P.latest_by_rank(stored, P.PRICE_KEYS)
     detailed = P.add_ticket_details(ranked, open_tickets)
-    pairs = cut_lineage(P.initiatives_per_pair(tables["initiative"]), "initiatives")
+    pairs = P.initiatives_per_pair(tables["initiative"])
     phased = P.phase_in_out(detailed, pairs, side)
 
     merged = [c for c in phased.columns if c not in INITIATIVE_TEXTS]

@@ -124,8 +124,9 @@ def test_overrides_keep_wide_tickets_apart(frame):
         "spend_pool_low_name business_unit_lkp_code sector_business_unit business_unit source_list_flag", texts,
         *({**k, "purchase_vendor_id": "0000000001", "source_list_flag": "Y"} for k in keys))
     plan = rows("agreement_naturalkey material_id plant_code mm_minimum_lot_size", texts, *keys)
-    consumed = rows("plant_code material_id material_type total_requirement_qty", texts,
-                    *({**k, "material_type": "ROH", "total_requirement_qty": 1.0} for k in keys))
+    needs = rows("plant_code material_id material_type rows_n13 qty_n13 rows_n12m qty_n12m", texts,
+                 *({**k, "material_type": "ROH", "rows_n13": 1.0, "qty_n13": 1.0, "rows_n12m": 1.0,
+                    "qty_n12m": 1.0} for k in keys))
     sync = rows("plant_code material_id batch_volume_uom usage_uom weight cov_usage inventory sync", texts, *keys)
     given = rows(
         "vendor_id material_id plant_code base_uom abc_mat_fam_name abc_mat_fam_new_msm restriction_min_prod_qty "
@@ -138,7 +139,37 @@ def test_overrides_keep_wide_tickets_apart(frame):
     trigger = rows("vendor_id ticket_id forecast_override_flag future_supplier_storage_flag", texts,
                    *({"vendor_id": "0000000001", "ticket_id": t, "forecast_override_flag": "yes"} for t in ids))
     out = P.enrich_agreements(
-        agreements, plan, consumed, consumed, sync, given, overrides, trigger,
+        agreements, plan, needs, sync, given, overrides, trigger,
         rows("material_number material_desc", texts), rows("site_code country_code", texts),
         rows("country_code nominal_wacc scrap_extra_charges", texts))
     assert values(out, "ticket_id", "qty_forecast_n12") == sorted(zip(ids, (10.0, 11.0, 12.0), strict=True))
+
+
+def test_both_horizons_come_from_one_read(spark, frame):
+    cons = frame("material_id string, requirement_date_for_the_component string,"
+                 "sum_total_requirement_qty double",
+                 ("a", "20240101", 1.0), ("a", "20240401", 2.0), ("a", "20240402", 4.0),
+                 ("a", "20241231", 8.0), ("a", "20250101", 16.0), ("b", "20240101", None),
+                 ("c", "20240601", 3.0), ("d", None, 5.0))
+    out = P.consumption_by_horizon(cons, ["material_id"], dt.date(2024, 1, 1))
+    assert values(out, "material_id", "rows_n13", "qty_n13", "rows_n12m", "qty_n12m") == [
+        ("a", 2, 3.0, 4, 15.0), ("b", 1, None, 1, None), ("c", 0, None, 1, 3.0)]
+
+
+def test_needs_follow_repeated_plan_rows_and_every_type(frame):
+    plan = frame("agreement_naturalkey string, material_id string, plant_code string",
+                 ("k", "m", "p"), ("k", "m", "p"), ("k", "n", "p"), ("l", "n", "p"),
+                 ("none", "x", "p"), (None, "m", "p"))
+    needs = frame("material_id string, plant_code string, material_type string, rows_n13 long,"
+                  "qty_n13 double, rows_n12m long, qty_n12m double",
+                  ("m", "p", "ROH", 1, 1.0, 2, 3.0), ("m", "p", "HALB", 0, None, 1, 5.0),
+                  ("n", "p", "ROH", 1, None, 1, None))
+    found = {r["agreement_naturalkey"]: r
+             for r in P._needs_per_agreement(plan, needs).collect()}
+
+    def listed(key, name):
+        return sorted((e["qty"] for e in found[key][name]), key=str)
+
+    assert sorted(found) == ["k", "l"]
+    assert listed("k", "_n13") == [2.0, None] and listed("k", "_n12m") == [10.0, 6.0, None]
+    assert listed("l", "_n13") == [None] and listed("l", "_n12m") == [None]

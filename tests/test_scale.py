@@ -9,8 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from lotcraft.functions import attach_group_values
+from lotcraft import schemas as S
+from lotcraft.functions import attach_group_values, unique_rows_only
+from lotcraft.operators import conform as C
+from lotcraft.operators import payload as Y
 from lotcraft.operators import planning as P
+from lotcraft.operators import quality as Q
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -139,3 +143,52 @@ def test_search_groups_on_hash_tables(spark):
     above_explode = plan.split("Generate explode")[0]
     first = above_explode.rstrip().split("HashAggregate")[-1]
     assert "SortAggregate" not in first and "Exchange" not in first
+
+
+def _scans(df):
+    """Reads of the input in the plan as it will run, reused exchanges apart."""
+    return len(re.findall(r"Scan (?:ExistingRDD|parquet|json|csv)|LocalTableScan", _plan(df)))
+
+
+def test_scales_and_ambiguous_rows_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "scale")
+    spark.createDataFrame([("t", "1", "F", 5)], "k string, m string, f string, n int"
+                          ).write.parquet(path)
+    assert _scans(unique_rows_only(spark.read.parquet(path), ["k", "m"])) == 1
+
+    scale = spark.createDataFrame([], ", ".join(f"{c} string" for c in S.SCALE_FACT_COLUMNS))
+    scale.write.parquet(path + "-raw")
+    summary = spark.createDataFrame(
+        [], "ticket_id string, supplier_input_ticket_id string, scale_scenario_type string,"
+            "ticket_owner string")
+    summary.write.parquet(path + "-summary")
+    entries = spark.createDataFrame(
+        [], "ticket_id string, material_id string, price_scale_fam_name string")
+    entries.write.parquet(path + "-input")
+    read = {n: spark.read.parquet(f"{path}-{n}") for n in ("raw", "summary", "input")}
+    out = C.resolve_price_scale(read["raw"], read["summary"], read["input"])
+    assert _scans(out) == 3 and out.count() == 0
+
+
+def test_pages_and_bodies_read_their_input_once(spark):
+    rows = spark.range(0, 1000).select(
+        F.lit("s").alias("source_system_code"), F.col("id").cast("string").alias("jsonObject"),
+        (F.col("id") % 3).alias("recipient"), F.lit("o").alias("ticket_owner"))
+    assert "Range" in _plan(rows)
+    assert "Range" not in _plan(Y.region_payload(rows, ["s"], 10))
+    assert "Range" not in _plan(Q.digest_by_recipient(rows, ["jsonObject"]))
+
+
+def test_needs_of_both_horizons_read_consumption_and_plan_once(spark, tmp_path):
+    import datetime as dt
+
+    frames = {"consumption": "material_id string, plant_code string, material_type string,"
+                             "requirement_date_for_the_component string,"
+                             "sum_total_requirement_qty double",
+              "plan": "agreement_naturalkey string, material_id string, plant_code string"}
+    for name, schema in frames.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    read = {n: spark.read.parquet(str(tmp_path / n)) for n in frames}
+    keys = ["material_id", "plant_code", "material_type"]
+    needs = P.consumption_by_horizon(read["consumption"], keys, dt.date(2024, 1, 1))
+    assert _scans(P._needs_per_agreement(read["plan"], needs)) == 2

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lotcraft.functions import fiscal_year
+from lotcraft.functions import fiscal_year, unique_rows_only
 from lotcraft.operators import incremental as N
 from lotcraft.operators import inventory as V
 from lotcraft.operators import payload as Y
@@ -58,6 +58,18 @@ def test_ambiguous_keys_go_whole_and_null_keys_stay(frame):
     assert values(T.drop_ambiguous(df), "x") == [(3,), (4,), (5,)]
 
 
+def test_copies_with_a_null_key_all_stay(spark):
+    key = ["k"]
+    df = spark.range(0, 150_000, 1, 4).select(
+        F.when(F.col("id") == 7, F.lit(7)).alias("k"), F.lit("same").alias("v"))
+    out = unique_rows_only(df, key)
+    assert out.columns == ["k", "v"]
+    assert values(out.groupBy("k", "v").count(), "k", "v", "count") == [
+        (7, "same", 1), (None, "same", 149_999)]
+    assert values(unique_rows_only(df.select("k"), key).groupBy("k").count(), "k", "count") == [
+        (7, 1), (None, 149_999)]
+
+
 def test_one_row_per_key_and_latest_attribute(frame):
     df = frame("vendor_id int, material_id int, plant_code string, t string, v int",
                (1, 1, "p", "b", 9), (1, 1, "p", "a", 3), (1, 1, "p", "a", 2), (2, 1, "p", None, 7))
