@@ -49,6 +49,20 @@ def _(f):
                                "date": F.col("date").cast("string")})
 
 
+@query("movement_totals_48_months", f"""
+    SELECT matnr AS material_id, werks AS plant_code, waers AS currency_code,
+           bwart AS move_type_code, {R('sum(dmbtr)', 2)} AS local_amount_currency,
+           sum(menge) AS qty, substr(doc_post_date, 1, 4) || '-' || substr(doc_post_date, 5, 2)
+               || '-' || substr(doc_post_date, 7, 2) AS date
+    FROM {{movement}}
+    WHERE bwart IN ('551', '552', '555', '556') AND doc_post_date >= '19940101'
+    GROUP BY matnr, werks, waers, bwart, doc_post_date""")
+def _(f):
+    totals = V.movement_totals(f.movement, since=V.months_before(AS_OF, 48))
+    return totals.withColumns({"local_amount_currency": rounded("local_amount_currency", 2),
+                               "date": F.col("date").cast("string")})
+
+
 @query("fiscal_year", """
     SELECT CAST(year(CAST(l_shipdate AS DATE) + INTERVAL 6 MONTH) AS INT) AS fiscal_year_num,
            count(*) AS n_rows FROM lineitem GROUP BY fiscal_year_num""")

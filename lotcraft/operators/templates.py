@@ -134,9 +134,13 @@ def supplier_template(
     shelf: DataFrame,
     production: DataFrame,
     business_units: DataFrame,
+    known_plants: bool = False,
 ) -> DataFrame:
     """Supplier template: planning rows with master data, defaults filled, distinct.
 
+    With `known_plants`, only rows of the plants in `plant_regions` stay, which
+    `distinct_plant_region` gives once per name and region; otherwise the region may be missing.
+
     Rows without demand are dropped before the joins. The lookup sides are cut to the
     columns used and made distinct, as repeats could only inflate a distinct result; the
     stacking factor comes from one aggregation over the supplier input.
@@ -189,7 +193,7 @@ def supplier_template(
         .join(frequency, ["plant_code", "purchase_vendor_id"], "left")
         .join(lines, ["material_id", "plant_code", "purchase_vendor_id"], "left")
         .join(stacking, ["material_id", "plant_code", "purchase_vendor_id"], "left")
-        .join(regions, "plant_code", "left")
+        .join(regions, "plant_code", "inner" if known_plants else "left")
         .join(produced, ["_vendor", "_material"], "left")
         .join(units, "business_unit_lkp_code", "left")
     )

@@ -92,7 +92,8 @@ def conform_and_publish(
 
 
 def read_extracts(
-    spark: SparkSession, directory: str, extracts: Extracts = Extracts()
+    spark: SparkSession, directory: str, extracts: Extracts = Extracts(),
+    broken_lines: bool = True,
 ) -> dict[str, DataFrame]:
-    tables = load_csv_dir(spark, directory)
+    tables = load_csv_dir(spark, directory, broken_lines=broken_lines)
     return {role: tables[name] for role, name in extracts.names.items() if name in tables}

@@ -17,17 +17,19 @@ def text_schema(names: list[str]) -> StructType:
 
 
 def read_pipe_csv(
-    spark: SparkSession, path: str | list[str], schema: StructType | None = None
+    spark: SparkSession, path: str | list[str], schema: StructType | None = None,
+    broken_lines: bool = True,
 ) -> DataFrame:
     """Pipe-delimited extract with a header; quoted fields may span lines.
 
     A quoted line break makes a file unsplittable, so one file is one task: large
-    extracts should arrive as many files. Without a schema only the header line is read
+    extracts should arrive as many files, or be read with `broken_lines=False` where no
+    field holds a line break, which deals one file over many tasks. Without a schema only the header line is read
     ahead, and every column is a string.
     """
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", broken_lines)
         .option("sep", "|")
         .option("quote", '"')
         .option("escape", '"')
@@ -52,12 +54,14 @@ def load_csv_dir(
     spark: SparkSession,
     directory: str,
     types: dict[str, dict[str, str]] | None = None,
+    broken_lines: bool = True,
 ) -> dict[str, DataFrame]:
     """One table per CSV file of a directory, with clean names and chosen column types."""
     tables = {}
     for name in _extract_names(spark, directory):
         table = name.removesuffix(".csv").replace(".", "_")
-        df = sanitize_columns(read_pipe_csv(spark, f"{directory.rstrip('/')}/{name}"))
+        df = sanitize_columns(read_pipe_csv(
+            spark, f"{directory.rstrip('/')}/{name}", broken_lines=broken_lines))
         tables[table] = cast_columns(df, (types or {}).get(table, {}))
     return tables
 

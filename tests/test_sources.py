@@ -5,6 +5,7 @@ import glob
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from lotcraft.operators.payload import row_json
 from lotcraft.plans.ingest import conform_and_publish
@@ -128,3 +129,17 @@ def test_ingest_publishes_every_table(spark, frame, tmp_path):
                               dt.date(2024, 1, 1))
     assert {name: df.count() for name, df in out.items()} == dict.fromkeys(out, 1)
     assert values(out["quotation"], "material_id", "qty_forecast_n12") == [("0" * 17 + "3", 12.35)]
+
+
+def test_a_file_without_broken_lines_is_dealt_over_tasks(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text("a|b\n" + "".join(f'{i}|"x|{i}"\n' for i in range(50_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100KB")
+    try:
+        whole, split = (read_pipe_csv(spark, str(path), broken_lines=b) for b in (True, False))
+        tasks = [df.select(F.spark_partition_id()).distinct().count() for df in (whole, split)]
+        assert tasks[0] == 1 and tasks[1] > 4
+        assert split.exceptAll(whole).count() == 0 and split.count() == 50_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
