@@ -25,7 +25,8 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote, urljoin
+from functools import lru_cache
+from urllib.parse import quote, urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -53,7 +54,9 @@ _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|[!?][^<>]*+>"
     r"|(/?)([a-zA-Z][^\s/<>]*+)([^<>\"']*+(?:(?:\"[^\"<]*+\"|'[^'<]*+')[^<>\"']*+)*+)>)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(?<![^\s=/\"'>])([^\s=/\"'>]++)\s*+=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_BLANKS = re.compile(r"[^\S\n]+")
+_BLANKS = re.compile(r"[^\S\n ][^\S\n]*+| [^\S\n]++")  # a single space is left as it is
+_ROOTED = re.compile(r"(?:/\w+)+")  # a path from the root without anything that needs resolving
+_CONTROLS = re.compile(r"[\x00-\x1f\x7f]")
 
 
 def digest(block: bytes) -> str:
@@ -72,14 +75,15 @@ def parsed(page: str) -> tuple[str, str | None, list[dict[str, str]], list[dict[
     at, title, title_from = 0, None, -1
     lower = None
     while match := _TAG.search(page, at):
-        if match.start() > at:
-            parts.append(page[at : match.start()])
-        at = match.end()
-        name = match[2]
+        start, end = match.span()
+        if start > at:
+            parts.append(page[at:start])
+        at = end
+        closing, name, inside = match.groups()
         if name is None:
             continue
         name = name.lower()
-        if match[1]:
+        if closing:
             if name == "title" and title is None and title_from >= 0:
                 title = " ".join(html.unescape("".join(parts[title_from:])).split())
         elif name in RAW:
@@ -89,9 +93,9 @@ def parsed(page: str) -> tuple[str, str | None, list[dict[str, str]], list[dict[
         elif name == "title":
             title_from = len(parts) + 1
         elif name == "meta":
-            metas.append(_attributes(match[3]))
+            metas.append(_attributes(inside))
         elif name in ("a", "link", "img"):
-            target = _attributes(match[3])
+            target = _attributes(inside)
             found = target.get("src" if name == "img" else "href")
             if found:
                 links.append({"path": f"{name.upper()}@/{'src' if name == 'img' else 'href'}", "url": found})
@@ -103,9 +107,29 @@ def parsed(page: str) -> tuple[str, str | None, list[dict[str, str]], list[dict[
     return "\n".join(lines), title, metas, links
 
 
+@lru_cache(maxsize=64)
+def _site(target: str) -> str | None:
+    """Scheme and host of a web address, what a path from the root is put behind."""
+    try:
+        parts = urlsplit(target)
+    except ValueError:
+        return None
+    return f"{parts.scheme}://{parts.netloc}" if parts.scheme in ("http", "https") and parts.netloc else None
+
+
+def resolved(target: str, reference: str) -> str:
+    """A reference of a page as an address; one that cannot be resolved stays as it is written."""
+    if _ROOTED.fullmatch(reference) and (site := _site(target)):
+        return site + reference
+    try:
+        return urljoin(target, reference)
+    except ValueError:
+        return reference
+
+
 def _field(value: str) -> str:
     """A header value on one line."""
-    return "".join(quote(c) if ord(c) < 32 or ord(c) == 127 else c for c in value)
+    return _CONTROLS.sub(lambda m: quote(m[0]), value)
 
 
 def record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
@@ -142,10 +166,7 @@ def derived(source_id: int | None, target: str | None, date: str, http_header: s
     text, title, metas, links = parsed(payload)
     if target:
         for link in links:
-            try:
-                link["url"] = urljoin(target, link["url"])
-            except ValueError:
-                pass  # not a reference that can be resolved; it stays as it was written
+            link["url"] = resolved(target, link["url"])
     status, *lines = http_header.strip().split("\r\n")
     envelope = {
         "WARC-Header-Metadata": {

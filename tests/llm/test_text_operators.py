@@ -7,11 +7,14 @@ import math
 import re
 import zlib
 from collections import Counter
+from urllib.parse import urljoin
 
 import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from hypothesis import given
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lotcraft.llm import (
@@ -497,3 +500,21 @@ def test_long_tags_take_linear_time():
     warc_derive.parsed("<a " + "x" * 400_000 + ">text")
     assert time.perf_counter() - began < 2
     assert warc_derive._attributes(" href='x' b = \"c d\" e=f/g h") == {"href": "x", "b": "c d", "e": "f/g"}
+
+
+@given(st.text(alphabet=" \t\n\r\x0b  ab\x00\x7f\x1f"))
+def test_blanks_and_header_values_by_their_rules(value):
+    assert warc_derive._BLANKS.sub(" ", value) == re.sub(r"[^\S\n]+", " ", value)
+    kept = "".join(f"%{ord(c):02X}" if ord(c) < 32 or ord(c) == 127 else c for c in value)
+    assert warc_derive._field(value) == kept
+
+
+@pytest.mark.parametrize("target", [
+    "http://a.b/c/d?q#f", "HTTPS://u:p@A.b:8080", "ftp://h/x", "a/b", "//h/x", "http:", "mailto:x", "http:///x", "http://[::1/x"])
+@given(st.one_of(st.from_regex(r"(/\w{1,4}){1,3}", fullmatch=True), st.text(alphabet="/.a:?#;é \n", max_size=8)))
+def test_references_resolve_as_the_standard_says(target, reference):
+    try:
+        expected = urljoin(target, reference)
+    except ValueError:
+        expected = reference
+    assert warc_derive.resolved(target, reference) == expected
