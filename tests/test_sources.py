@@ -49,6 +49,16 @@ def test_partitioned_table_prunes_folders(spark, frame, tmp_path):
     assert "PartitionFilters: [isnotnull(source_system_code" in plan
 
 
+def test_few_folders_are_written_without_a_sort(spark, tmp_path):
+    for folders in (3, 40):  # beyond the files held open the rest is sorted; nothing is lost
+        path = str(tmp_path / str(folders))
+        publish(spark.range(1000).selectExpr("id", f"id % {folders} AS k"), path, partition_by=["k"])
+        assert spark.read.parquet(path).distinct().count() == 1000
+        runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+        plans = [p for p in (runs.apply(i).physicalPlanDescription() for i in range(runs.size())) if path in p]
+        assert plans and not any("Sort" in p for p in plans if "InsertInto" in p)
+
+
 def test_snapshot_is_never_replaced(spark, tmp_path):
     path = write_snapshot(spark.range(3), str(tmp_path), "1")
     assert spark.read.parquet(path).count() == 3
