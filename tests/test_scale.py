@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from catalog.conform_queries import _family_quotation
+from catalog.domain import frames
 from lotcraft import schemas as S
 from lotcraft.functions import attach_group_values, unique_rows_only
 from lotcraft.operators import conform as C
@@ -170,6 +172,42 @@ def test_scales_and_ambiguous_rows_are_read_once(spark, tmp_path):
     assert _scans(out) == 3 and out.count() == 0
 
 
+def test_scales_cross_the_network_once_before_they_match(spark, settings, frame):
+    settings(**{"spark__sql__autoBroadcastJoinThreshold": "-1"})
+    columns = S.SCALE_FACT_COLUMNS
+
+    def scale(ticket, material, family):
+        given = {"ticket_id": ticket, "material_id": material, "scale_fam": family}
+        return tuple(given.get(c) for c in columns)
+
+    raw = frame(", ".join(f"{c} string" for c in columns), scale("t", "1", "F"), scale("t", None, "F"),
+                scale("t", None, "F"), scale("t", " ", "F"), scale("u", "9", " "), scale(None, "1", "F"))
+    # A ticket of both scenarios, one of none, and one that names two inputs.
+    summary = frame("ticket_id string, supplier_input_ticket_id string, scale_scenario_type string,"
+                    "ticket_owner string", ("t", "i", "1", "o"), ("t", "i", "2", "o"), ("t", "j", "2", "o"),
+                    ("u", "i", "3", "o"), ("u", "i", None, "o"), ("t", None, "2", "o"))
+    entries = frame("ticket_id string, material_id string, price_scale_fam_name string",
+                    ("i", "0" * 17 + "1", "F"), ("i", "0" * 17 + "1", "F"), ("j", "0" * 17 + "2", "F"),
+                    ("j", None, "F"), (None, "0" * 17 + "3", "F"))
+    out = C.resolve_price_scale(raw, summary, entries)
+    # Input, tickets, offers and scales, each by the key it is joined on, and the distinct result.
+    assert len(re.findall(r"Exchange hashpartitioning", _plan(out))) == 5
+    found = sorted((r["material_id"] or "", r["scale_scenario_type"]) for r in out.collect())
+    assert found == [("", "2"), (" ".rjust(18, "0"), "2"), ("0" * 17 + "1", "1"), ("0" * 17 + "1", "2"),
+                     ("0" * 17 + "2", "2")]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
+def test_family_quotations_are_made_distinct_on_few_columns(spark):
+    f = frames(spark, SF_DIR)
+    narrow = _family_quotation(f)
+    assert narrow.schema == f.family_quotation.schema
+    assert narrow.exceptAll(f.family_quotation).isEmpty() and f.family_quotation.exceptAll(narrow).isEmpty()
+    plan = _plan(driver.queries()["expand_family_quotation"](spark, SF_DIR))
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\), ", plan)
+    assert dealt and max(len(re.split(r", (?![^(]*\))", keys)) for keys in dealt) <= 6
+
+
 def test_pages_and_bodies_read_their_input_once(spark):
     rows = spark.range(0, 1000).select(
         F.lit("s").alias("source_system_code"), F.col("id").cast("string").alias("jsonObject"),
