@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from lotcraft.operators import inventory as V
 from lotcraft.operators import mpq as M
 from lotcraft.operators import planning as P
+from lotcraft.operators import templates as T
 from lotcraft.plans import supply_chain as L
 from tests.conftest import values
 from tests.test_classify_mpq import _prepared
@@ -84,3 +87,87 @@ def test_families_are_settled_without_the_lines_other_columns(frame, monkeypatch
         ("5", 80.0, 8.0, 80.0, "A", 3.0, 800.0), ("6", 80.0, 8.0, 80.0, "A", 5.0, 800.0),
         ("7", 20.0, 2.0, 20.0, "C", 2.0, 200.0), ("8", 4.0, 2.0, None, None, None, 4.0)], key=repr)
     assert written and all("note" not in columns for _, columns in written)
+
+
+def carried(df, column):
+    """Exchanges whose rows hold a column."""
+    jvm = df.sparkSession.sparkContext._jvm
+    text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    inputs = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]$", text, re.MULTILINE)
+    return sum(any(c.split("#")[0] == column for c in found.split(", ")) for found in inputs)
+
+
+def _template(frame, known_plants=False):
+    names = ("purchase_vendor_id plant_code material_id source_system_code business_unit business_unit_lkp_code "
+             "spend_pool_low_name mm_minimum_lot_size min_prod_qty restriction_min_prod_qty "
+             "restriction_max_prod_qty material_per_pallet_qty pipo_indicator material_phase_out_phase_in "
+             "iopt_initiative_name prod_rounding_value setup_cost_usd abc_mat_fam_name qty_forecast_n12").split()
+
+    def row(vendor, material, plant="P", system="S", **given):
+        known = {"purchase_vendor_id": vendor, "material_id": material, "plant_code": plant,
+                 "source_system_code": system, "qty_forecast_n12": "5", **given}
+        return tuple(known.get(c) for c in names)
+
+    fact = frame(", ".join(f"{c} string" for c in names), row("01", "07"), row("01", "07"), row("1", "07"),
+                 row("01", "7"), row("x", "07"), row("y", "07"), row(None, "07"), row("01", "07", None),
+                 row("01", "07", "Q"), row("01", "07", system="T"), row("01", "07", system=None), row("01", "08"),
+                 row("01", "09"), row("01", None), row("01", "07", qty_forecast_n12="0", setup_cost_usd="1"))
+    keys = "vendor_id string, plant_code string, material_id string, "
+    return T.supplier_template(
+        fact,
+        frame("material_number string, material_desc string, base_unit_of_measure string, material_group string",
+              ("7", "seven", "EA", "g"), ("007", "sieben", "EA", None), ("8", "eight", "EA", "g")),
+        frame("spend_pool_lkp_code string, spend_pool_high_name string", ("g", "PACKAGING")),
+        frame("plant_code string, lead_vendor_id string, vendor_plant_change_freq double",
+              ("P", "01", 10.0), ("P", "01", 11.0), ("P", "x", 12.0), ("P", None, 13.0)),
+        frame("purchase_vendor_id string, plant_code string, material_id string, plant_name string,"
+              "purchase_doc_type_desc string", ("01", "P", "07", "one", "a"), ("01", "P", "07", "two", "a"),
+              ("01", "P", "07", "two", "a"), ("x", "P", "07", "three", "b"), (None, "P", "07", "none", "c")),
+        frame(keys + "ticket_id string, pallet_stacking_factor string", ("01", "P", "07", "1", "4"),
+              ("01", "P", "07", "2", "3"), ("1", "P", "07", "1", "6"), ("01", "P", "07", "2", None)),
+        frame("plant_code string, region_override string", ("P", "GC")),
+        frame("source_system_code string, material_id string, material_shelf_life_months string",
+              ("S", "07", "12"), ("S", "07", "18"), ("T", "07", ""), (None, "07", "1"), ("S", "7", "24"),
+              ("S", "08", "6")),
+        frame("vendor_id string, material_id string, min_prod_quantity double, production_family string",
+              ("1", "7", 2.0, "f"), ("001", "7", 3.0, "g"), (None, "7", 4.0, "h")),
+        frame("code string, category string", ("u", "core")), known_plants)
+
+
+def test_planning_rows_cross_the_network_once_for_what_is_known_of_a_pair(frame, unsized):
+    # Once for vendor and material, region, unit and the distinct rows behind them.
+    assert carried(_template(frame), "restriction_max_prod_qty") <= 4
+
+
+# Vendor, plant as text, plant, shelf life, least quantity, stacking factor and frequency of the first of
+# what repeats: the material's text, the least quantity of vendor 1 and the frequency of its first spelling.
+TEMPLATE = [
+    (1, "P: one", "P", "", "2.0", 3, 10.0),
+    (1, "P: one", "P", "12", "2.0", 3, 10.0),
+    (1, "P: one", "P", "18", "2.0", 3, 10.0),
+    (1, "P: two", "P", "", "2.0", 3, 10.0),
+    (1, "P: two", "P", "12", "2.0", 3, 10.0),
+    (1, "P: two", "P", "18", "2.0", 3, 10.0),
+    (1, None, "P", "12", "2.0", 6, 180.0),
+    (1, None, "P", "18", "2.0", 6, 180.0),
+    (1, None, "P", "24", "2.0", None, 10.0),
+    (1, None, "P", "6", None, None, 10.0),
+    (1, None, "Q", "12", "2.0", None, 180.0),
+    (1, None, "Q", "18", "2.0", None, 180.0),
+    (1, None, None, "12", "2.0", None, 180.0),
+    (1, None, None, "18", "2.0", None, 180.0),
+    (None, "P: three", "P", "12", None, None, 12.0),
+    (None, "P: three", "P", "18", None, None, 12.0),
+    (None, None, "P", "12", None, None, 180.0),
+    (None, None, "P", "18", None, None, 180.0),
+]
+
+
+def test_template_keeps_spellings_systems_and_missing_vendors_apart(frame):
+    rows = _template(frame).collect()
+    first = {(r["vendor_id"], r["plant_code"], r["only_plant_code"], r["material_shelf_life_months"],
+              r["min_prod_qty"], r["pallet_stacking_factor"], r["vendor_plant_change_freq"]) for r in rows
+             if r["material_desc"] != "sieben" and r["min_prod_qty"] != "3.0" and r["vendor_plant_change_freq"] != 11}
+    assert len(rows) == len(set(rows)) == 90 and sorted(first, key=repr) == TEMPLATE
+    known = _template(frame, known_plants=True).collect()
+    assert len(known) == 74 and {r["only_plant_code"] for r in known} == {"P"}
