@@ -171,3 +171,47 @@ def test_template_keeps_spellings_systems_and_missing_vendors_apart(frame):
     assert len(rows) == len(set(rows)) == 90 and sorted(first, key=repr) == TEMPLATE
     known = _template(frame, known_plants=True).collect()
     assert len(known) == 74 and {r["only_plant_code"] for r in known} == {"P"}
+
+
+def test_plan_rows_are_counted_where_they_meet_their_place(frame, unsized):
+    plan_rows = frame("agreement_naturalkey string, material_id string, plant_code string",
+                      ("k", "m", "p"), ("k", "m", "p"), ("l", "m", "q"), (None, "m", "p"))
+    needs = frame("material_id string, plant_code string, rows_n13 long, qty_n13 double, rows_n12m long,"
+                  "qty_n12m double", ("m", "p", 1, 1.0, 1, 2.0))
+    listed = P._needs_per_agreement(plan_rows, needs)
+    assert values(listed, F.col("agreement_naturalkey"), F.col("_n13.qty"), F.col("_n12m.qty")) == [
+        ("k", [2.0], [4.0])]
+    # By place, and by agreement.
+    assert carried(listed, "agreement_naturalkey") == 2
+
+
+def test_input_rows_are_made_distinct_where_they_meet_their_override(frame, unsized):
+    def row(schema, **given):
+        names = [c.split() for c in schema.split(", ")]
+        return frame(schema, tuple(given.get(n) for n, _ in names))
+
+    def text(names, **given):
+        return row(", ".join(f"{n} string" for n in names.split()), **given)
+
+    own = {"material_id": "m", "plant_code": "p", "agreement_naturalkey": "k"}
+    given = row("vendor_id string, material_id string, plant_code string, base_uom string, abc_mat_fam_name string, "
+                "abc_mat_fam_new_msm string, restriction_min_prod_qty double, restriction_max_prod_qty double, "
+                "material_per_pallet_qty double, min_prod_qty double, ticket_id string, setup_cost_usd double, "
+                "prod_rounding_value double, material_shelf_life_months double, vendor_plant_change_freq double, "
+                "supplier_input_repeats int", vendor_id="v", ticket_id="t", setup_cost_usd=3.0, **own)
+    out = P.enrich_agreements(
+        text("agreement_naturalkey source_system_code purchase_vendor_id plant_code material_id price_unit_factor "
+             "doc_curr_code net_price_rate price_purch_usd spend_pool_lkp_code spend_pool_group "
+             "spend_pool_medium_name spend_pool_low_name business_unit_lkp_code sector_business_unit business_unit "
+             "source_list_flag", purchase_vendor_id="v", source_list_flag="Y", **own),
+        row("agreement_naturalkey string, material_id string, plant_code string, mm_minimum_lot_size double", **own),
+        row("material_id string, plant_code string, rows_n13 long, qty_n13 double, rows_n12m long, qty_n12m double",
+            rows_n13=1, qty_n13=1.0, rows_n12m=1, qty_n12m=1.0, **own),
+        text("plant_code material_id batch_volume_uom usage_uom weight cov_usage inventory sync"),
+        given.union(given),
+        row("vendor_id string, material_id string, ticket_id string, qty_forecast_override double"),
+        text("vendor_id ticket_id forecast_override_flag future_supplier_storage_flag"), None,
+        text("site_code country_code"), text("country_code nominal_wacc scrap_extra_charges"))
+    assert values(out, "material_id", "ticket_id", "setup_cost_usd") == [("m", "t", 3.0)]
+    # For the override, the ticket, the agreement, the plant and the rates.
+    assert carried(out, "setup_cost_usd") == 5
