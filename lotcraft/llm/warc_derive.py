@@ -17,7 +17,6 @@ digests depend on the content alone, and a task that is run again writes the sam
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import html
 import json
@@ -48,6 +47,7 @@ BLOCKS = frozenset((
     "td tfoot th thead title tr ul"
 ).split())
 RAW = frozenset(("script", "style", "noscript", "template", "textarea", "svg"))
+NOTED = RAW | {"title", "meta", "a", "link", "img"}  # elements of which more than a line's end is read
 
 # A tag ends before the next "<": what looks like one and does not end is text.
 _TAG = re.compile(
@@ -56,11 +56,13 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"(?<![^\s=/\"'>])([^\s=/\"'>]++)\s*+=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _BLANKS = re.compile(r"[^\S\n ][^\S\n]*+| [^\S\n]++")  # a single space is left as it is
 _ROOTED = re.compile(r"(?:/\w+)+")  # a path from the root without anything that needs resolving
+_BASE32 = [a + b for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" for b in "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
 _CONTROLS = re.compile(r"[\x00-\x1f\x7f]")
 
 
 def digest(block: bytes) -> str:
-    return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
+    value = int.from_bytes(hashlib.sha1(block).digest())
+    return "sha1:" + "".join([_BASE32[value >> at & 1023] for at in range(150, -1, -10)])
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -74,33 +76,42 @@ def parsed(page: str) -> tuple[str, str | None, list[dict[str, str]], list[dict[
     links: list[dict[str, str]] = []
     at, title, title_from = 0, None, -1
     lower = None
-    while match := _TAG.search(page, at):
-        start, end = match.span()
-        if start > at:
-            parts.append(page[at:start])
-        at = end
-        closing, name, inside = match.groups()
-        if name is None:
-            continue
-        name = name.lower()
-        if closing:
-            if name == "title" and title is None and title_from >= 0:
-                title = " ".join(html.unescape("".join(parts[title_from:])).split())
-        elif name in RAW:
-            lower = lower if lower is not None else page.lower()
-            end = lower.find("</" + name, at) if len(lower) == len(page) else page.find("</" + name, at)
-            at = end if end >= 0 else len(page)
-        elif name == "title":
-            title_from = len(parts) + 1
-        elif name == "meta":
-            metas.append(_attributes(inside))
-        elif name in ("a", "link", "img"):
-            target = _attributes(inside)
-            found = target.get("src" if name == "img" else "href")
-            if found:
-                links.append({"path": f"{name.upper()}@/{'src' if name == 'img' else 'href'}", "url": found})
-        if name in BLOCKS:
-            parts.append("\n")
+    while True:  # again behind an element whose content is not text
+        for match in _TAG.finditer(page, at):
+            start, end = match.span()
+            if start > at:
+                parts.append(page[at:start])
+            at = end
+            closing, name, inside = match.groups()
+            if name is None:
+                continue
+            name = name.lower()
+            raw = False
+            if closing:
+                if name == "title" and title is None and title_from >= 0:
+                    title = " ".join(html.unescape("".join(parts[title_from:])).split())
+            elif name not in NOTED:
+                pass
+            elif name in RAW:
+                raw = True
+                lower = lower if lower is not None else page.lower()
+                end = lower.find("</" + name, at) if len(lower) == len(page) else page.find("</" + name, at)
+                at = end if end >= 0 else len(page)
+            elif name == "title":
+                title_from = len(parts) + 1
+            elif name == "meta":
+                metas.append(_attributes(inside))
+            else:
+                target = _attributes(inside)
+                found = target.get("src" if name == "img" else "href")
+                if found:
+                    links.append({"path": f"{name.upper()}@/{'src' if name == 'img' else 'href'}", "url": found})
+            if name in BLOCKS:
+                parts.append("\n")
+            if raw:
+                break
+        else:
+            break
     parts.append(page[at:])
     text = _BLANKS.sub(" ", html.unescape("".join(parts)))
     lines = [s for s in map(str.strip, text.split("\n")) if s]
@@ -129,7 +140,7 @@ def resolved(target: str, reference: str) -> str:
 
 def _field(value: str) -> str:
     """A header value on one line."""
-    return _CONTROLS.sub(lambda m: quote(m[0]), value)
+    return value if value.isprintable() else _CONTROLS.sub(lambda m: quote(m[0]), value)
 
 
 def record(fields: list[tuple[str, str | None]], block: bytes) -> bytes:
@@ -144,7 +155,11 @@ def _member(data: bytes) -> bytes:
 
 
 def _id(*parts: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, chr(0).join(parts))}>"
+    """A name-based id (UUID version 5) of the parts."""
+    name = bytearray(hashlib.sha1(_NAMESPACE.bytes + chr(0).join(parts).encode()).digest()[:16])
+    name[6], name[8] = name[6] & 0x0F | 0x50, name[8] & 0x3F | 0x80
+    text = name.hex()
+    return f"<urn:uuid:{text[:8]}-{text[8:12]}-{text[12:16]}-{text[16:20]}-{text[20:]}>"
 
 
 def responses(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", body: str = "html",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import re
+import uuid
 import zlib
 from collections import Counter
 from urllib.parse import urljoin
@@ -518,3 +520,13 @@ def test_references_resolve_as_the_standard_says(target, reference):
     except ValueError:
         expected = reference
     assert warc_derive.resolved(target, reference) == expected
+
+
+def test_warc_ids_and_digests_are_the_standard_ones():
+    for block in (b"", b"a", "ü\n".encode() * 99):
+        plain = base64.b32encode(hashlib.sha1(block).digest()).decode()
+        assert warc_derive.digest(block) == f"sha1:{plain}"
+    for parts in (("response", "1", ""), ("", "ü", "\x00")):
+        standard = uuid.uuid5(warc_derive._NAMESPACE, chr(0).join(parts))
+        assert warc_derive._id(*parts) == f"<urn:uuid:{standard}>"
+    assert warc_derive.parsed("a<script><p title='</script>b<style>x</p>") == ("ab", None, [], [])
