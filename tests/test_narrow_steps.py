@@ -215,3 +215,92 @@ def test_input_rows_are_made_distinct_where_they_meet_their_override(frame, unsi
     assert values(out, "material_id", "ticket_id", "setup_cost_usd") == [("m", "t", 3.0)]
     # For the override, the ticket, the agreement, the plant and the rates.
     assert carried(out, "setup_cost_usd") == 5
+
+
+LINE_TABLES = {
+    "agreement": "agreement_naturalkey string, source_system_code string, purchase_vendor_id string, plant_code string, "
+                 "material_id string, price_unit_factor int, doc_curr_code string, net_price_rate double, "
+                 "price_purch_usd double, spend_pool_lkp_code string, spend_pool_group string, "
+                 "spend_pool_medium_name string, spend_pool_low_name string, business_unit_lkp_code string, "
+                 "sector_business_unit string, business_unit string, source_list_flag string",
+    "plan": "agreement_naturalkey string, material_id string, plant_code string, mm_minimum_lot_size double",
+    "consumption": "material_id string, plant_code string, material_type string, "
+                   "requirement_date_for_the_component string, sum_total_requirement_qty double",
+    "sync": "plant_code string, material_id string, batch_volume_uom double, usage_uom double, weight double, "
+            "cov_usage double, inventory double, sync double",
+    "input": "vendor_id string, material_id string, plant_code string, base_uom string, abc_mat_fam_name string, "
+             "abc_mat_fam_new_msm string, restriction_min_prod_qty double, restriction_max_prod_qty double, "
+             "material_per_pallet_qty double, min_prod_qty double, ticket_id string, setup_cost_usd double, "
+             "prod_rounding_value double, material_shelf_life_months double, vendor_plant_change_freq double, "
+             "supplier_input_repeats int",
+    "override": "vendor_id string, material_id string, ticket_id string, qty_forecast_override double",
+    "trigger": "vendor_id string, ticket_id string, commercial_transparency_flag string, "
+               "forecast_override_flag string, future_supplier_storage_flag string, modified_date string, "
+               "ticket_owner string, ticket_custom_id string, ticket_title string, pipo_horizon_days int",
+    "material": "material_number string, material_desc string",
+    "plant": "site_code string, country_code string",
+    "finance": "country_code string, nominal_wacc double, scrap_extra_charges double",
+    "storage": "vendor_id string, material_id string, storage_unit_quantity double",
+    "initiative": "iopt_initiative_po_material_id string, iopt_initiative_pi_material_id string, plant_code string, "
+                  "iopt_initiative_name string",
+}
+
+
+def _line_tables(frame):
+    vendor, material, other, ticket = "v".rjust(10, "0"), "m".rjust(18, "0"), "n".rjust(18, "0"), "t".rjust(7, "0")
+    plant = "000p"
+    own = {"vendor_id": vendor, "purchase_vendor_id": vendor, "plant_code": plant, "site_code": plant,
+           "material_id": material, "material_number": material, "ticket_id": ticket, "source_list_flag": "Y",
+           "country_code": "C", "commercial_transparency_flag": "no", "forecast_override_flag": "yes"}
+    given = {
+        "agreement": [dict(agreement_naturalkey=k, price_unit_factor=f, doc_curr_code=c, net_price_rate=r, **more)
+                      for k, f, c, r, more in (
+                          ("k", 1, "USD", 3.0, {}), ("k", 1, "USD", 3.0, {}), ("l", 10, "USD", 5.0, {}),
+                          ("o", 1, "USD", 7.0, {"material_id": other}),
+                          ("w", 1, "USD", 9.0, {"material_id": None}),
+                          ("x", 1, "USD", 1.0, {"plant_code": "000q"}),
+                          ("y", 1, "EUR", 1.0, {"plant_code": "000q"}),
+                          ("z", 1, "EUR", 1.0, {"source_list_flag": "N"}))],
+        "plan": [dict(agreement_naturalkey=k, mm_minimum_lot_size=lot) for k, lot in (
+            ("k", 91.0), ("k", 91.0), ("l", 91.0), ("o", 5.0), ("w", 6.0), ("x", 1.0), ("y", 1.0), ("z", 1.0))],
+        "consumption": [{"requirement_date_for_the_component": "19980102", "sum_total_requirement_qty": 91.0}],
+        "sync": [{"batch_volume_uom": 4.0}],
+        "input": [{"ticket_id": "0000000", "setup_cost_usd": 1.0}, {"setup_cost_usd": 2.0}, {"setup_cost_usd": 2.0},
+                  {"setup_cost_usd": 8.0, "supplier_input_repeats": 2}],
+        "override": [{"qty_forecast_override": 12.0}],
+        "trigger": [{"ticket_custom_id": "T"}],
+        "material": [{"material_desc": "text"}], "plant": [{}], "finance": [{"nominal_wacc": 0.5}],
+        "storage": [{"storage_unit_quantity": 6.0}, {"storage_unit_quantity": 8.0}],
+        "initiative": [{"iopt_initiative_po_material_id": other, "iopt_initiative_pi_material_id": material,
+                        "iopt_initiative_name": "I"}],
+    }
+
+    def table(name):
+        columns = [c.split()[0] for c in LINE_TABLES[name].split(", ")]
+        return frame(LINE_TABLES[name], *(tuple({**own, **row}.get(c) for c in columns) for row in given[name]))
+
+    return {name: table(name) for name in LINE_TABLES}
+
+
+def test_price_lines_are_dealt_once_by_material(frame, unsized, monkeypatch):
+    import datetime as dt
+
+    written = {}
+
+    def spy(df, name="step"):
+        written[name] = (plan(df), carried(df, "net_price_rate"), carried(df, "setup_cost_usd"))
+        return df
+
+    monkeypatch.setattr(L, "cut_lineage", spy)
+    lines = L.price_lines(_line_tables(frame), dt.date(1998, 1, 1))
+    got = values(lines, F.ltrim(F.translate("material_id", "0", " ")).alias("m"), "price_unit_factor", "setup_cost_usd",
+                 "qty_forecast_n12", "material_per_pallet_qty", "ticket_custom_id", "iopt_initiative_name",
+                 "pipo_indicator", "material_desc", "avg_batch_consumption_qty", "mm_minimum_lot_size_dfc",
+                 "price_purch_rate")
+    # Two factors of one currency become 1, a repeated plan row counts its consumption twice; a factor
+    # with two currencies and a missing key go.
+    assert got == sorted([
+        ("m", 1, 2.0, 12.0, 8.0, "T", "i", "PO", "text", 4.0, 68.25, 4.0),
+        ("n", 1, None, 91.0, None, None, "", "", None, None, 5.0, 7.0)], key=repr)
+    # By material, the plant and the rates' own small table aside.
+    assert written["lines"][1] <= 2 and written["lines"][2] <= 2
