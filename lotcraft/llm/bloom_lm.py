@@ -61,6 +61,7 @@ END = b"\n"  # no word holds a line feed
 _FLUSH_ITEMS = 1 << 21
 _FLUSH_TOKENS = 400_000
 _EMIT_BYTES = 1 << 20
+_LOOKED_UP = 1 << 17  # n-grams that a block looks up at once
 
 _START_HASH = np.uint64(0x5851F42D4C957F2D)
 _END_HASH = np.uint64(0x14057B7EF767814F)
@@ -306,6 +307,20 @@ def _asked(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([hashes, [_START_HASH], _pair(before, hashes)]))
 
 
+def _levels_of(model: BloomCounts, asking: list[bytes]) -> Iterator[bytes]:
+    """The levels of each list of n-grams, as bytes; many short lists are looked up together."""
+    first, held = 0, 0
+    for last, payload in enumerate(asking, 1):
+        held += len(payload) >> 3
+        if held >= _LOOKED_UP or last == len(asking):
+            levels = model.levels(np.frombuffer(b"".join(asking[first:last]), np.uint64)).astype(np.int8).tobytes()
+            at = 0
+            for own in asking[first:last]:
+                yield levels[at : at + (len(own) >> 3)]
+                at += len(own) >> 3
+            first, held = last, 0
+
+
 def _answered(source: DataFrame, built: DataFrame) -> DataFrame:
     """(chunk, kind, block, levels, row, doc_id, text): the rows of `source`, kind 1, and for each
     chunk of them, kind 0, the levels of its distinct n-grams block by block."""
@@ -337,20 +352,19 @@ def _answered(source: DataFrame, built: DataFrame) -> DataFrame:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, model = None, [], None
         for batch in batches:
-            chunks, blocks, levels = [], [], []
-            for row in batch.to_pylist():
-                if row["block"] != now:
-                    now, parts, model = row["block"], [], None
-                if row["kind"] == 0:
-                    parts.append((row["segment"], row["payload"]))
+            block, kinds = (batch.column(i).to_numpy() for i in (0, 1))
+            cuts = np.flatnonzero(np.diff(block, prepend=block[:1] - 1) | np.diff(kinds, prepend=kinds[:1] - 1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], block.size], strict=False):
+                if block[a] != now:
+                    now, parts, model = block[a], [], None
+                payload = batch.column(4).slice(a, b - a).to_pylist()
+                if kinds[a] == 0:
+                    parts += zip(batch.column(3).slice(a, b - a).to_pylist(), payload, strict=True)
                     continue
                 model = model or BloomCounts.of_parts(parts)
-                chunks.append(row["chunk"])
-                blocks.append(now)
-                levels.append(model.levels(np.frombuffer(row["payload"], np.uint64)).astype(np.int8).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunks, pa.int64()), pa.array(blocks, pa.int32()), pa.array(levels, pa.binary())],
-                ["chunk", "block", "payload"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(2).slice(a, b - a), batch.column(0).slice(a, b - a),
+                     pa.array(_levels_of(model, payload), pa.binary())], ["chunk", "block", "payload"])
 
     gathered = cut_lineage(source.mapInArrow(gather, schema), "chunks")
     asking = gathered.where("kind = 0").selectExpr("block", "1 AS kind", "chunk", "cast(null AS int) AS segment", "payload")

@@ -530,3 +530,23 @@ def test_warc_ids_and_digests_are_the_standard_ones():
         standard = uuid.uuid5(warc_derive._NAMESPACE, chr(0).join(parts))
         assert warc_derive._id(*parts) == f"<urn:uuid:{standard}>"
     assert warc_derive.parsed("a<script><p title='</script>b<style>x</p>") == ("ab", None, [], [])
+
+
+def test_blocks_look_up_the_lists_of_many_chunks_together(monkeypatch):
+    rng = np.random.default_rng(7)
+    lists = [rng.integers(0, 1 << 63, size, dtype=np.uint64) for size in (3, 0, 5, 1, 4, 2)]
+    sizes = []
+    model = bloom_lm.BloomCounts(np.full(1 << 14, 0b10110111, np.uint8), 8)
+    expected = [model.levels(own).astype(np.int8).tobytes() for own in lists]
+    levels = bloom_lm.BloomCounts.levels
+
+    def counted(self, hashes):
+        sizes.append(hashes.size)
+        return levels(self, hashes)
+
+    monkeypatch.setattr(bloom_lm.BloomCounts, "levels", counted)
+    payloads = [own.tobytes() for own in lists]
+    assert list(bloom_lm._levels_of(model, payloads)) == expected and sizes == [15]
+    monkeypatch.setattr(bloom_lm, "_LOOKED_UP", 8)
+    assert list(bloom_lm._levels_of(model, payloads)) == expected and sizes == [15, 8, 7]
+    assert list(bloom_lm._levels_of(model, [])) == []
