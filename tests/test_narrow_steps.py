@@ -302,5 +302,14 @@ def test_price_lines_are_dealt_once_by_material(frame, unsized, monkeypatch):
     assert got == sorted([
         ("m", 1, 2.0, 12.0, 8.0, "T", "i", "PO", "text", 4.0, 68.25, 4.0),
         ("n", 1, None, 91.0, None, None, "", "", None, None, 5.0, 7.0)], key=repr)
-    # By material, the plant and the rates' own small table aside.
-    assert written["lines"][1] <= 2 and written["lines"][2] <= 2
+    # By material; no table is broadcast here, so the plants cost an exchange and one back.
+    assert written["lines"][1:] == (3, 3)
+
+
+def test_scenarios_of_small_families_cross_no_exchange(frame):
+    prepared = _prepared(frame)
+    best = M.best_quantities(prepared)
+    assert values(best) == values(M.optimal_mpq(M.scenario_rows(prepared)))
+    assert values(M.best_quantities(prepared, at_once=1)) == values(best)
+    small, found, _ = plan(best).partition("Generate explode")
+    assert found and "Exchange" not in small
